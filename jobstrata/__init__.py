@@ -7,3 +7,10 @@ table).
 """
 
 __version__ = "0.1.0"
+
+import sys as _sys
+
+from pyspark import cloudpickle as _cloudpickle
+
+# Python workers may run where the package isn't installed.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
