@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from jobstrata.llm import encoding
+from jobstrata.llm import encoding, leaks
 
 QUERIES = {
     "p6_ids": encoding.p6_ids,
     "p6_decoded": encoding.p6_decoded,
+    "p7_found": leaks.p7_found,
 }
 SQL = {"p6_decoded": encoding.P6_DECODED_SQL}
