@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from jobstrata.llm import encoding, leaks
+from jobstrata.llm import encoding, leaks, truncation
 
 QUERIES = {
     "p6_ids": encoding.p6_ids,
     "p6_decoded": encoding.p6_decoded,
     "p7_found": leaks.p7_found,
+    "p8_found": truncation.p8_found,
+    "p8_shares": truncation.p8_shares,
 }
 SQL = {"p6_decoded": encoding.P6_DECODED_SQL}
