@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from jobstrata.llm import encoding, history, leaks, names, truncation
+from jobstrata.llm import encoding, history, leaks, names, residue, truncation
 
 QUERIES = {
     "p1_found": history.p1_found,
+    "p3_found": residue.p3_found,
     "p4_found": names.p4_found,
+    "p5_found": residue.p5_found,
     "p6_ids": encoding.p6_ids,
     "p6_decoded": encoding.p6_decoded,
     "p7_found": leaks.p7_found,
