@@ -132,6 +132,5 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     details = _details(spark, folder)
     bodies = materialize(body_lines(details), "bodies")
     bad = find_residue(details, bodies)
-    return bodies.join(bad, "detail_id", "left_anti").select(
-        "detail_id", F.explode("kept").cast("long").alias("line_no")
-    )
+    kept = bodies.join(bad, "detail_id", "left_anti").select("detail_id", F.explode("kept").alias("line_no"))
+    return kept.select("detail_id", F.col("line_no").cast("long").alias("line_no"))
