@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from jobstrata.plans import changed
+from jobstrata.plans import changed, queries
 
-QUERIES = {"p2_found": changed.p2_found}
-SQL = {"p2_found": changed.P2_SQL}
+QUERIES = {**queries.QUERIES, "p2_found": changed.p2_found}
+SQL = {**queries.SQL, "p2_found": changed.P2_SQL}
