@@ -14,9 +14,13 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
 
 
+#: The same characters as :data:`BLANKS`, one by one.
+BLANK_CHARS = "".join(map(chr, (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200E), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF)))
+
+
 def strip_wide(c: Column) -> Column:
     """As :func:`strip`, also removing zero-width characters at the ends."""
-    return F.regexp_replace(c, f"^{BLANKS}+|{BLANKS}+$", "")
+    return F.btrim(c, F.lit(BLANK_CHARS))
 
 
 def filled(c: Column) -> Column:
@@ -30,8 +34,7 @@ def blank_to_null(c: Column) -> Column:
 
 def norm_id(c: Column) -> Column:
     """Record id without letter case, outer white space and enclosing braces; null if blank."""
-    bare = F.lower(F.regexp_replace(c, rf"^(?:{BLANKS}|[{{}}])+|(?:{BLANKS}|[{{}}])+$", ""))
-    return F.nullif(bare, F.lit(""))
+    return F.nullif(F.lower(F.btrim(c, F.lit(BLANK_CHARS + "{}"))), F.lit(""))
 
 
 def norm_sha(c: Column) -> Column:
