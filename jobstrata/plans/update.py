@@ -82,10 +82,9 @@ def update(state: dict[str, DataFrame], manifest: DataFrame, payloads: DataFrame
     def grown(stored: DataFrame, new: DataFrame) -> DataFrame:
         return stored.unionByName(new.select(*stored.columns))
 
-    return {
-        "nyc_jobs": grown(nyc, new_nyc), "remote_jobs": grown(remote, new_remote), "job_details": details,
-        "pending_archive": queue, "excluded_jobs": state["excluded_jobs"],
-    }
+    out = {"nyc_jobs": grown(nyc, new_nyc), "remote_jobs": grown(remote, new_remote), "job_details": details, "pending_archive": queue}
+    # Each version is written before the next run builds on it.
+    return {**{name: materialize(df, name) for name, df in out.items()}, "excluded_jobs": state["excluded_jobs"]}
 
 
 def backfill(details: DataFrame, texts: DataFrame, fetched: DataFrame, size: int = 10) -> dict[str, DataFrame]:
