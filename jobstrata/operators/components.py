@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobstrata.session import materialize
+from jobstrata.session import materialize, release
 
 _ROUNDS = 64
 
@@ -41,7 +41,8 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     now = materialize(now.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     before = None
     for _ in range(_ROUNDS):
-        now = materialize(_small_star(_large_star(now)).distinct(), "edges")
+        last, now = now, materialize(_small_star(_large_star(now)).distinct(), "edges")
+        release(last)
         # Stars that no longer change have the same number of edges and the same checksum.
         state = tuple(now.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first())
         if state == before:

@@ -84,4 +84,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     schema = df.schema
     df.write.parquet(path)
-    return df.sparkSession.read.schema(schema).parquet(path)
+    out = df.sparkSession.read.schema(schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def release(*stages: DataFrame) -> None:
+    """Delete the files of materialised stages that nothing reads any more."""
+    for df in stages:
+        path = getattr(df, "_scratch", None)
+        if path:
+            delete_path(df.sparkSession, path)

@@ -26,7 +26,7 @@ def parse_payload(history: DataFrame, payload: str = "payload") -> DataFrame:
     Only one top-level JSON array of objects is accepted; anything else gives a
     null array and ``parse_ok`` false.  Wrongly typed fields become null.
     """
-    text = F.regexp_replace(F.col(payload), r"(?U)^[\s﻿]+|\s+$", "")
+    text = F.regexp_replace(F.col(payload), r"(?U)^[\s\ufeff]+|\s+$", "")
     parsed = F.from_json(text, F.lit(f"array<{POSTING.simpleString()}>"), {"mode": "PERMISSIVE"})
     fine = F.coalesce(text.rlike(r"(?s)^\[.*\]$"), F.lit(False)) & parsed.isNotNull()
     return history.withColumn("postings", F.when(fine, parsed)).withColumn("parse_ok", fine)
