@@ -42,7 +42,7 @@ def item_words(items: DataFrame, item_id: str = "item_id", text: str = "text") -
 
     A stored word is a stretch between white space that holds a letter or digit.
     """
-    marked = F.transform(F.split(F.col(text), r"[\s ]+"), lambda w: w)
+    marked = F.transform(F.split(F.col(text), r"[\s\u00a0]+"), lambda w: w)
     stored = F.filter(marked, lambda w: w.rlike(r"[\p{L}\p{N}]"))
     parts = items.select(F.col(item_id).alias("item"), plain_words(F.col(text)).alias("words"), stored.alias("stored"))
     # Length of the plain letters up to the end of each stored word, against that of the compared words.

@@ -27,7 +27,7 @@ from jobstrata.sources.tables import job_rows
 
 #: A word in at least this share of all spellings states a kind of business;
 #: there can't be more than (words per name) / KIND_SHARE of them.
-KIND_SHARE, KIND_LEAST = 0.006, 5
+KIND_SHARE, KIND_LEAST = 0.006, 10
 #: Members of a group up to which its pairs are made in one task.
 PAIR_BLOCK = 512
 
@@ -166,7 +166,7 @@ def profile_keys(kind: str, words: list[str]) -> tuple[list[str], list[str], lis
         if len(words) == 2:
             sure.update((f"{kind}|~{full[0]}{full[1]}", f"{kind}|~{full[1]}{full[0]}"))
     strong = not initial and not vague
-    # A first name may stand as an initial or as a short form of several names.
+    # A first name may stand as an initial (of the full name) or as a short form of several names.
     for i, w in enumerate(words):
         rest = full[:i] + full[i + 1:]
         if len(rest) != 1 or len(rest[0]) < 4 or rest[0] in _MEANT:
@@ -177,7 +177,7 @@ def profile_keys(kind: str, words: list[str]) -> tuple[list[str], list[str], lis
         elif i in vague:
             asks.update(f"{kind}|{d}|={m}" for d in around for m in _MEANT[w])
         elif strong and (i in known or len(w) >= 3):
-            offers.update(f"{kind}|{d}|.{w[0]}" for d in around)
+            offers.update(f"{kind}|{d}|.{full[i][0]}" for d in around)
             if i in known:
                 offers.update(f"{kind}|{d}|={full[i]}" for d in around)
     # The kind of business may be left out.
@@ -189,7 +189,7 @@ def profile_keys(kind: str, words: list[str]) -> tuple[list[str], list[str], lis
 
 def distinct_names(rows: DataFrame, column: str = "company_name") -> DataFrame:
     """``name``: the distinct stored spellings that aren't null or blank."""
-    return rows.select(F.col(column).alias("name")).where(F.col("name").rlike(r"[^\s  ]")).distinct()
+    return rows.select(F.col(column).alias("name")).where(F.col("name").rlike(r"[^\s\u00a0]")).distinct()
 
 
 @F.pandas_udf(T.StringType())

@@ -45,7 +45,7 @@ def repair_letters(c: Column) -> Column:
 def fold(c: Column) -> Column:
     """Lower case without accents, combining marks and zero-width characters."""
     lowered = F.lower(repair_letters(c))
-    bare = F.regexp_replace(lowered, r"[\p{M}­​-‏⁠﻿]+", "")
+    bare = F.regexp_replace(lowered, r"[\p{M}\u00ad\u200b-\u200f\u2060\ufeff]+", "")
     return F.translate(bare, _SRC, _DST)
 
 
@@ -59,5 +59,5 @@ def plain_words(c: Column) -> Column:
     t = F.regexp_replace(c, r"<[/!]?[a-zA-Z][^<>]*>|&#?\w{1,8};", " ")
     t = F.regexp_replace(t, r"\bUS\$", "\\$")
     t = F.regexp_replace(fold(t), r"['‘’ʼ´`]+", "")
-    t = F.regexp_replace(t, r"(?<=[0-9])[.,\s ]+(?=[0-9])", "")
+    t = F.regexp_replace(t, r"(?<=[0-9])[.,\s\u00a0]+(?=[0-9])", "")
     return F.regexp_extract_all(t, F.lit(r"[\p{L}\p{N}]+"), F.lit(0))

@@ -25,6 +25,8 @@ SOFT = 16
 FDR = 0.01
 #: A word that stops a line or clause in fewer than this share of its uses doesn't end a text.
 STOPS = 0.05
+#: Share of the closing entries (labels, list items, sign-offs) that makes their last word a usual one.
+USUAL = 0.002
 #: Uses of a word that make its share known.
 KNOWN = 20
 
@@ -47,7 +49,7 @@ def _mask(word: Column) -> Column:
 
 def endings(docs: DataFrame) -> DataFrame:
     """Add what the end of ``text`` shows.  Blank and null texts drop out."""
-    d = docs.where(F.col("text").rlike(r"[^\s ]"))
+    d = docs.where(F.col("text").rlike(r"[^\s\u00a0]"))
     more, dots = F.regexp_extract("text", _MORE, 0), F.regexp_extract("text", _DOTS, 0)
     d = d.withColumn("_mark", F.when(more != "", more).otherwise(dots))
     d = d.withColumn("_core", F.substring(F.col("text"), F.lit(1), F.length("text") - F.length("_mark")))
@@ -75,11 +77,11 @@ def endings(docs: DataFrame) -> DataFrame:
 
 
 def word_stops(docs: DataFrame, ends: DataFrame) -> DataFrame:
-    """``last, uses, stops, finals`` of each word.
+    """``last, uses, stops, finals, closing`` of each word.
 
     ``uses`` counts it anywhere but at the end of a text, ``stops`` those uses
-    after which a line or clause ends, and ``finals`` the different texts that
-    end with it.
+    after which a line or clause ends, ``finals`` the different texts that end
+    with it, and ``closing`` those of them whose last line is an entry.
     """
     parts = F.regexp_extract_all("text", F.lit(r"[^\s\u00a0]+(?:[ \t\u00a0]*[\r\n]+)?"), F.lit(0))
     inner = F.slice(parts, F.lit(1), F.greatest(F.size(parts) - 1, F.lit(0)))
@@ -89,7 +91,9 @@ def word_stops(docs: DataFrame, ends: DataFrame) -> DataFrame:
     used = w.select(word.alias("last"), stop.alias("s")).groupBy("last").agg(
         F.count("*").alias("uses"), F.count_if("s").alias("stops")
     )
-    finals = ends.select("last", F.xxhash64("text").alias("h")).distinct().groupBy("last").agg(F.count("*").alias("finals"))
+    finals = ends.select("last", "entry", F.xxhash64("text").alias("h")).distinct().groupBy("last").agg(
+        F.count("*").alias("finals"), F.count_if("entry").alias("closing")
+    )
     return finals.join(used, "last", "left").na.fill(0, ["uses", "stops"])
 
 
@@ -164,8 +168,11 @@ def judge(docs: DataFrame) -> DataFrame:
     known = word_stops(slim.where("text is not null"), ends)
     open_ = open_.join(known, "last", "left")
     seen = F.col("uses") + F.col("finals")
+    # A word that many texts end with is one; torn words differ from text to text.
+    usual = F.greatest(F.lit(3.0), F.lit(USUAL) * F.lit(ends.where("entry").count()))
     halting = (
-        F.when(seen < KNOWN, F.col("stops") < 2)
+        F.when((F.col("closing") >= usual) & (F.col("closing") * 2 >= F.col("finals")), F.lit(False))
+        .when(seen < KNOWN, F.col("stops") < 2)
         .otherwise(F.col("stops") + F.col("finals") < seen * STOPS)
     )
     whole = F.col("link") | F.col("stamp") | F.col("closed") | (F.col("entry") & ~halting)
