@@ -101,10 +101,13 @@ def encode_corpus(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *
     joined = split.where("_hot is null and word is not null").drop("_hot").join(rest, "word")
     spans = done.unionByName(joined.select("_doc", "_hash", "pos", "ids"))
     whole = spans.groupBy("_doc", "_hash").agg(
-        F.array_sort(F.array_distinct(F.collect_list(F.struct("pos", "ids")))).alias("spans"),
+        F.sort_array(F.collect_list(F.struct("pos", "ids"))).alias("spans"),
         F.count_if(F.coalesce(F.col("pos"), F.lit(0)) == 0).alias("copies"),
     )
-    ids = F.flatten(F.transform("spans", lambda s: F.coalesce(s["ids"], F.array().cast(_IDS))))
+    # A row that came several times has each position as often, side by side.
+    once = F.filter("spans", lambda s, i: (i == 0) | (s["pos"] != F.get("spans", i - 1)["pos"]))
+    spans = F.when(F.col("copies") > 1, once).otherwise(F.col("spans"))
+    ids = F.flatten(F.transform(spans, lambda s: F.coalesce(s["ids"], F.array().cast(_IDS))))
     return whole.select(F.col("_doc").alias(doc_id), ids.alias("ids"), F.sequence(F.lit(1), F.col("copies").cast("int")).alias("_c")).select(
         doc_id, "ids", F.explode("_c").alias("_c")
     ).drop("_c")
@@ -127,7 +130,7 @@ def decode_corpus(encoded: DataFrame, doc_id: str = "doc_id", ids: str = "ids",
     table_ = F.broadcast(token_bytes(spark, ranks).select("id", F.hex("bytes").alias("_hex")))
     spans = encoded.select(F.col(doc_id).alias("_doc"), F.posexplode_outer(F.col(ids)).alias("pos", "id"))
     whole = spans.join(table_, "id", "left").groupBy("_doc").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "_hex"))).alias("s")
+        F.sort_array(F.collect_list(F.struct("pos", "_hex"))).alias("s")
     )
     text = F.unhex(F.array_join(F.transform("s", lambda s: F.coalesce(s["_hex"], F.lit(""))), ""))
     return whole.select(F.col("_doc").alias(doc_id), F.decode(text, "UTF-8").alias("text"))
