@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from jobstrata.functions.text import BLANK_CHARS
 from jobstrata.session import materialize
 from jobstrata.sources.tables import table
 
@@ -53,9 +54,8 @@ def endings(docs: DataFrame) -> DataFrame:
     more, dots = F.regexp_extract("text", _MORE, 0), F.regexp_extract("text", _DOTS, 0)
     d = d.withColumn("_mark", F.when(more != "", more).otherwise(dots))
     d = d.withColumn("_core", F.substring(F.col("text"), F.lit(1), F.length("text") - F.length("_mark")))
-    tail = F.regexp_replace(F.col("_core"), r"[\s ]+$", "")
-    d = d.withColumn("_tail", F.right(tail, F.lit(2000)))
-    line = F.element_at(F.split("_tail", r"[\r\n]+"), -1)
+    tail = F.translate(F.rtrim(F.col("_core"), F.lit(BLANK_CHARS)), "\r", "\n")
+    d = d.withColumn("_line", F.substring_index(tail, "\n", -1))
     return d.select(
         *docs.columns,
         F.length("text").cast("long").alias("n_all"),
@@ -63,10 +63,10 @@ def endings(docs: DataFrame) -> DataFrame:
         F.length("_core").cast("long").alias("n_core"),
         (more != "").alias("said_more"),
         ((more == "") & (dots != "")).alias("dotted"),
-        F.col("_tail").rlike(_END).alias("ended"),
-        F.col("_tail").rlike(_TORN).alias("torn"),
-        F.col("_tail").rlike(_CLOSED).alias("closed"),
-        line.alias("line"),
+        F.col("_line").rlike(_END).alias("ended"),
+        F.col("_line").rlike(_TORN).alias("torn"),
+        F.col("_line").rlike(_CLOSED).alias("closed"),
+        F.col("_line").alias("line"),
     ).select(
         "*",
         F.col("line").rlike(_LINK).alias("link"),
