@@ -15,4 +15,7 @@ QUERIES = {
     "p8_found": truncation.p8_found,
     "p8_shares": truncation.p8_shares,
 }
-SQL = {"p6_decoded": encoding.P6_DECODED_SQL}
+SQL = {
+    "p1_found": history.P1_SQL,
+    "p6_decoded": encoding.P6_DECODED_SQL,
+}
