@@ -74,7 +74,7 @@ def segments(items: DataFrame) -> DataFrame:
 
 
 def candidates(index: DataFrame, items: DataFrame) -> DataFrame:
-    """``doc, item, start``: where an item would start for a segment whose rarest words all fit."""
+    """``doc, item, start, segs``: where an item would start for segments whose rarest words all fit."""
     terms = segments(items)
     wanted = terms.select("term").distinct()
     freq = index.join(wanted, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n"))
@@ -85,7 +85,7 @@ def candidates(index: DataFrame, items: DataFrame) -> DataFrame:
     anchors = materialize(
         ranked.groupBy("item", "seg").agg(
             *[F.max(F.when(F.col("rank") == k, F.col(c))).alias(f"{c}{k}") for k in range(1, LISTS + 1) for c in ("term", "at")]
-        ), "anchors",
+        ).join(terms.groupBy("item", "seg").agg(F.min("at").alias("lo"), F.count("*").cast("int").alias("len")), ["item", "seg"]), "anchors",
     )
     found = index.join(anchors, F.col("term") == F.col("term1")).withColumn("start", F.col("pos") - F.col("at1")).drop("term", "pos")
     for k in range(2, LISTS + 1):
@@ -99,7 +99,8 @@ def candidates(index: DataFrame, items: DataFrame) -> DataFrame:
         )
         lone = found.where(F.col(f"term{k}").isNull())
         found = found.where(F.col(f"term{k}").isNotNull()).join(lists, fits, "left_semi").unionByName(lone)
-    return found.select("doc", "item", "start").distinct()
+    # An item has few segments, so these sets are small.
+    return found.groupBy("doc", "item", "start").agg(F.collect_set(F.struct("lo", "len")).alias("segs"))
 
 
 def _is_leak(words: list[str], item: list[str], se: list[int], we: list[int], start: int) -> bool:
@@ -151,7 +152,11 @@ def verify(found: DataFrame, docs: DataFrame, items: DataFrame, doc_id: str = "d
     body = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(doc_id, text).alias("doc"), plain_words(F.col(text)).alias("words"))
     room = F.size("item_words") + F.size("item_words")
     lo = F.greatest(F.lit(0), F.col("start") - F.size("item_words"))
-    near = body.join(at, "doc").select(
+    def whole(seg):
+        here = F.slice("words", (F.col("start") + seg["lo"] + 1).cast("int"), seg["len"])
+        return (F.col("start") + seg["lo"] >= 0) & (here == F.slice("item_words", seg["lo"] + 1, seg["len"]))
+
+    near = body.join(at, "doc").where(F.exists("segs", whole)).select(
         "doc_id", "item", "item_words", "se", "we",
         (F.col("start") - lo).alias("start"),
         F.slice("words", (lo + 1).cast("int"), (room + F.size("item_words")).cast("int")).alias("words"),
