@@ -61,6 +61,7 @@ def endings(docs: DataFrame) -> DataFrame:
         F.length("text").cast("long").alias("n_all"),
         F.octet_length("text").cast("long").alias("n_bytes"),
         F.length("_core").cast("long").alias("n_core"),
+        F.xxhash64("text").alias("h"),
         (more != "").alias("said_more"),
         ((more == "") & (dots != "")).alias("dotted"),
         F.col("_line").rlike(_END).alias("ended"),
@@ -91,7 +92,7 @@ def word_stops(docs: DataFrame, ends: DataFrame) -> DataFrame:
     used = w.select(word.alias("last"), stop.alias("s")).groupBy("last").agg(
         F.count("*").alias("uses"), F.count_if("s").alias("stops")
     )
-    finals = ends.select("last", "entry", F.xxhash64("text").alias("h")).distinct().groupBy("last").agg(
+    finals = ends.select("last", "entry", "h").distinct().groupBy("last").agg(
         F.count("*").alias("finals"), F.count_if("entry").alias("closing")
     )
     return finals.join(used, "last", "left").na.fill(0, ["uses", "stops"])
@@ -105,7 +106,7 @@ def hazards(ends: DataFrame) -> DataFrame:
     the chance of so many events from above at the hazard of the neighbours
     within :data:`REACH` (a Chernoff bound, so the test is conservative).
     """
-    texts = ends.groupBy("source", "n_all", "n_bytes", "n_core", F.xxhash64("text").alias("h")).agg(F.lit(1).alias("_one"))
+    texts = ends.select("source", "n_all", "n_bytes", "n_core", "h").distinct()
     kinds = F.array(
         F.struct(F.lit("chars").alias("kind"), F.lit(1).alias("step"), F.col("n_all").alias("at")),
         F.struct(F.lit("bytes").alias("kind"), F.lit(1).alias("step"), F.col("n_bytes").alias("at")),
@@ -149,14 +150,14 @@ def judge(docs: DataFrame) -> DataFrame:
     are judged alike and each gives a row.
     """
     slim = docs.select("doc_id", "source", "text")
-    ends = endings(slim)
+    ends = materialize(endings(slim).drop("text", "line"), "endings")
     sure = materialize(significant_lengths(ends), "lengths")
 
     def at(kind: str, column: Column) -> tuple[DataFrame, Column]:
         s = sure.where(F.col("kind") == kind).select(F.col("source").alias(f"s_{kind}"), F.col("at").alias(f"a_{kind}"))
         return s, F.col("source").eqNullSafe(F.col(f"s_{kind}")) & (column == F.col(f"a_{kind}"))
 
-    open_ = ends.where(~F.col("ended")).drop("text")
+    open_ = ends.where(~F.col("ended"))
     for kind, column in (
         ("chars", F.col("n_all")), ("bytes", F.col("n_bytes")), ("core", F.col("n_core")),
         ("soft", F.floor(F.col("n_all") / SOFT)),
