@@ -98,7 +98,7 @@ def shortens(short: str, word: str) -> bool:
     """Whether ``short`` is a usual way to shorten ``word`` (or the word with one slip)."""
     if short == word:
         return True
-    if short[0] != word[0] or len(short) > len(word) + 1:
+    if len(short) < 2 or short[0] != word[0] or len(short) > len(word) + 1:
         return False
     stem = short[:-1] if len(short) > 3 and short[-1] == "s" else short
     if len(stem) >= 3 and word.startswith(stem) and len(stem) < len(word):
