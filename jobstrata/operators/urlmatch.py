@@ -18,8 +18,8 @@ def known_urls(rows: DataFrame, stored: DataFrame, url: str = "url", stored_url:
     keys = stored.select(F.explode(url_match_keys(F.col(stored_url))).alias("_key")).distinct()
     own = rows.withColumn("_keys", url_match_keys(F.col(url)))
     exact = own.withColumn("_u", F.get("_keys", F.lit(0))).withColumn("_i", F.get("_keys", F.lit(1)))
-    hit_u = keys.select(F.col("_key").alias("_hu"))
-    hit_i = keys.select(F.col("_key").alias("_hi"))
+    hit_u = keys.where(F.col("_key").startswith("u:")).select(F.col("_key").alias("_hu"))
+    hit_i = keys.where(F.col("_key").startswith("i:")).select(F.col("_key").alias("_hi"))
     found = exact.join(hit_u, F.col("_u") == F.col("_hu"), "left").join(hit_i, F.col("_i") == F.col("_hi"), "left")
     matched = F.col("_hu").isNotNull() | F.col("_hi").isNotNull()
     return found.where(~matched if anti else matched).select(*rows.columns)
