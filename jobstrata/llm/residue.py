@@ -45,6 +45,7 @@ _REMINDER = re.compile(
     r"|(?i:\b(?:delete|remove|replace|overwrite|edit) this (?:text|paragraph|section|line|block|sentence|box|copy)\b)"
     r"|(?i:\bto be (?:provided|supplied|confirmed|completed|written|filled in|added|announced|determined|defined) by\b)"
     r"|(?i:\b(?:text|copy|content|description|blurb|duties|details|summary|location|salary)\s+(?:goes here|to go here|to come|to follow|pending)\b)"
+    r"|(?i:\b(?:write|describe|explain|add|insert|enter|type|put|list|state)\b[^.\n]{0,80}\bin this (?:space|box|field|place|section|paragraph)\b)"
     r"|(?i:\bsection \d+ (?:heading|body|bullet|paragraph|title|list) (?:copy|text)\b)"
     r"|(?i:\b(?:asdf\w*|qwerty|blah)\b)"
 )
