@@ -172,7 +172,8 @@ def judge(docs: DataFrame) -> DataFrame:
     # A word that many texts end with is one; torn words differ from text to text.
     usual = F.greatest(F.lit(3.0), F.lit(USUAL) * F.lit(ends.where("entry").count()))
     halting = (
-        F.when((F.col("closing") >= usual) & (F.col("closing") * 2 >= F.col("finals")), F.lit(False))
+        F.when(F.col("last").rlike(r"^\p{Ll}$"), F.lit(True))
+        .when((F.col("closing") >= usual) & (F.col("closing") * 2 >= F.col("finals")), F.lit(False))
         .when(seen < KNOWN, F.col("stops") < 2)
         .otherwise(F.col("stops") + F.col("finals") < seen * STOPS)
     )
