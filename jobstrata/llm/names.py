@@ -27,7 +27,7 @@ from jobstrata.sources.tables import job_rows
 
 #: A word in at least this share of all spellings states a kind of business;
 #: there can't be more than (words per name) / KIND_SHARE of them.
-KIND_SHARE, KIND_LEAST = 0.006, 10
+KIND_SHARE, KIND_LEAST = 0.006, 7
 #: Members of a group up to which its pairs are made in one task.
 PAIR_BLOCK = 512
 
