@@ -1,9 +1,10 @@
 """Pages that hold template residue, filler or an error notice instead of a posting.
 
 Fragments in the marks of template languages are candidates for open slots.
-Records of the same template are aligned around each candidate: where they
-agree on the fragment it is text (a posting may well speak of ``${VARIABLE}``),
-where they differ, or nothing aligns, it is a slot left open.  Pages of which
+All pages are aligned around each candidate, those with a filled value in its
+place too: where sites agree on the fragment it is text (a posting may well
+speak of ``${VARIABLE}``), where pages differ, or nothing of another site
+aligns, it is a slot left open.  Pages of which
 nothing remains once the wording shared by pages is taken away, and which so
 repeat a whole-page error template, hold no posting.
 """
@@ -17,14 +18,14 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from jobstrata.llm.pages import body_lines
+from jobstrata.llm.pages import body_lines, laid_out
 from jobstrata.session import materialize
 from jobstrata.sources.tables import table
 
-#: A fragment is text if at least so many different pages agree on it ...
-AGREE = 3
-#: ... and they are this share of the pages with a fragment in its place.
+#: A fragment is text if pages of several sites agree on it (those of one site share a
+#: template) and they are this share of the pages with a fragment or filled value in its place.
 AGREE_SHARE = 0.8
 
 # Marks of template languages around a variable's name.
@@ -64,47 +65,88 @@ def _filler(sentence: str) -> bool:
     return len(words) >= 3 and sum(w in _LATIN for w in words) >= 0.7 * len(words)
 
 
-def _around(text: str, start: int, end: int) -> str:
-    """The word on either side, within the line."""
-    left = re.findall(r"[\w$#%@'’-]+|[^\w\s]", text[max(0, text.rfind("\n", 0, start) + 1):start])[-1:]
-    stop = text.find("\n", end)
-    right = re.findall(r"[\w$#%@'’-]+|[^\w\s]", text[end:len(text) if stop < 0 else stop][:80])[:1]
-    return " ".join(left) + " □ " + " ".join(right)
+@F.pandas_udf(T.StringType())
+def _unescaped(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: html.unescape(t) if t and "&" in t else t)
+
+
+def _tokens(line):
+    """Words and signs of a line."""
+    return F.regexp_extract_all(line, F.lit(r"(?U)[\w$#%@'’-]+|[^\w\s]"), F.lit(0))
+
+
+# What stands for the ends of a line among its words, and for nothing beyond them.
+_HEAD, _TAIL = ("", "\x02"), ("\x03", "")
+
+
+def _ends(pair: tuple[str, str]):
+    return F.array(*[F.lit(x) for x in pair])
 
 
 def fragments(details: DataFrame) -> DataFrame:
-    """``detail_id, page, sure, place, fill``: what may be residue in each page's text.
+    """``detail_id, page, site, sure, l2, l1, fill, r1, r2``: what may be residue in each page's text.
 
     ``sure`` rows are reminders and filler; the others are fragments in
-    template marks, with the words around them as ``place``.
+    template marks, with the two words before and after them in the line.
     """
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for did, page, text in zip(b["detail_id"], b["page"], b["raw_text"]):
+            for did, page, site, text in zip(b["detail_id"], b["page"], b["site"], b["raw_text"]):
                 t = html.unescape(text) if "&" in text else text
                 if _REMINDER.search(t) or any(_filler(s) for s in _SENTENCE.split(t)):
-                    rows.append((did, page, True, None, None))
+                    rows.append((did, page, site, True, None, None, None))
                     continue
                 for m in _MARKS.finditer(t):
                     if not _TAGS.match(m[0]):
-                        rows.append((did, page, False, _around(t, m.start(), m.end()), m[0]))
-            yield pd.DataFrame(rows, columns=["detail_id", "page", "sure", "place", "fill"])
-
-    own = details.where("raw_text is not null").select("detail_id", F.xxhash64("raw_text").alias("page"), "raw_text")
-    schema = f"detail_id {dict(details.dtypes)['detail_id']}, page long, sure boolean, place string, fill string"
-    return own.mapInPandas(find, schema)
-
-
-def open_slots(found: DataFrame) -> DataFrame:
-    """``detail_id`` of pages with residue among their :func:`fragments`."""
-    marked = found.where("not sure")
-    by_fill = marked.select("place", "fill", "page").distinct().groupBy("place", "fill").agg(F.count("*").alias("n"))
-    whole = by_fill.groupBy("place").agg(F.sum("n").alias("total"))
-    text = by_fill.join(whole, "place").where(
-        (F.col("n") >= AGREE) & (F.col("n") >= AGREE_SHARE * F.col("total"))
-    ).select("place", "fill")
-    left = marked.join(text, ["place", "fill"], "left_anti")
+                        stop = t.find("\n", m.end())
+                        left = t[t.rfind("\n", 0, m.start()) + 1:m.start()]
+                        rows.append((did, page, site, False, left, m[0], t[m.end():len(t) if stop < 0 else stop]))
+            yield pd.DataFrame(rows, columns=["detail_id", "page", "site", "sure", "left", "fill", "right"])
+
+    own = laid_out(details).select("detail_id", F.xxhash64("raw_text").alias("page"), F.coalesce("site", F.lit("")).alias("site"), "raw_text")
+    schema = f"detail_id {dict(details.dtypes)['detail_id']}, page long, site string, sure boolean, left string, fill string, right string"
+    near = own.mapInPandas(find, schema).select(
+        "*", F.slice(F.concat(_ends(_HEAD), _tokens(F.col("left"))), -2, 2).alias("l"), F.slice(F.concat(_tokens(F.col("right")), _ends(_TAIL)), 1, 2).alias("r")
+    )
+    return near.select(
+        "detail_id", "page", "site", "sure", F.col("l")[0].alias("l2"), F.col("l")[1].alias("l1"), "fill", F.col("r")[0].alias("r1"), F.col("r")[1].alias("r2")
+    )
+
+
+def filled(details: DataFrame, agreed: DataFrame) -> DataFrame:
+    """``l1, r1, fill, page``: pages with other words in the place of a fragment.
+
+    The place is the words next to ``agreed(l2, l1, fill, r1, r2)`` and one
+    more on either side, within a line.
+    """
+    line = F.explode(F.split("text", "\n")).alias("line")
+    text = details.where("raw_text is not null").select(F.xxhash64("raw_text").alias("page"), _unescaped("raw_text").alias("text"))
+    lines = text.select("page", line).select("page", F.concat(_ends(_HEAD), _tokens(F.col("line")), _ends(_TAIL)).alias("t"))
+    # Each pair of neighbouring words, with its place from 0.
+    pairs = lines.select("page", "t", F.posexplode(F.arrays_zip(F.slice("t", 1, F.size("t") - 1).alias("x"), F.slice("t", 2, F.size("t") - 1).alias("y"))).alias("i", "p"))
+    pairs = pairs.select("page", "t", "i", F.col("p.x").alias("x"), F.col("p.y").alias("y"))
+    after = agreed.select("l2", "l1", "fill", "r1").distinct()
+    before = agreed.select("l1", "fill", "r1", "r2").distinct()
+    # At least one word stands between.
+    ahead = pairs.join(after, (F.col("x") == F.col("l2")) & (F.col("y") == F.col("l1"))).where(F.expr("array_contains(slice(t, i + 4, size(t)), r1)"))
+    behind = pairs.join(before, (F.col("x") == F.col("r1")) & (F.col("y") == F.col("r2"))).where(F.expr("array_contains(slice(t, 1, greatest(i - 1, 0)), l1)"))
+    return ahead.select("l1", "r1", "fill", "page").unionByName(behind.select("l1", "r1", "fill", "page")).distinct()
+
+
+def open_slots(found: DataFrame, details: DataFrame) -> DataFrame:
+    """``detail_id`` of pages with residue among the :func:`fragments` of ``details``."""
+    place, marked = ["l1", "r1"], found.where("not sure")
+    by_fill = marked.groupBy(*place, "fill").agg(F.count_distinct("page").alias("n"), F.count_distinct("site").alias("sites"))
+    whole = by_fill.groupBy(*place).agg(F.sum("n").alias("total"))
+    agreed = by_fill.join(whole, place).where((F.col("sites") > 1) & (F.col("n") >= AGREE_SHARE * F.col("total")))
+    around = materialize(marked.join(agreed, [*place, "fill"]).select("l2", "l1", "fill", "r1", "r2", "n", "total").distinct(), "agreed")
+    others = filled(details, around).join(marked.select("page", *place).distinct(), ["page", *place], "left_anti")
+    others = others.groupBy(*place, "fill").agg(F.count("*").alias("others"))
+    text = around.select(*place, "fill", "n", "total").distinct().join(others, [*place, "fill"], "left").where(
+        F.col("n") >= AGREE_SHARE * (F.col("total") + F.coalesce("others", F.lit(0)))
+    ).select(*place, "fill")
+    left = marked.join(text, [*place, "fill"], "left_anti")
     return found.where("sure").select("detail_id").unionByName(left.select("detail_id")).distinct()
 
 
@@ -117,7 +159,7 @@ def find_residue(details: DataFrame, bodies: DataFrame | None = None) -> DataFra
     """
     bodies = body_lines(details) if bodies is None else bodies
     bare = bodies.where("size(kept) = 0").select("detail_id")
-    return bare.unionByName(open_slots(materialize(fragments(details), "fragments"))).distinct()
+    return bare.unionByName(open_slots(materialize(fragments(details), "fragments"), details)).distinct()
 
 
 def _details(spark: SparkSession, folder: str) -> DataFrame:

@@ -78,6 +78,26 @@ def test_residue(spark, world):
     assert got == bad
 
 
+def test_slot_left_open_alike_on_many_pages(spark, world):
+    rows, want = world
+    rows = list(rows)
+    bad = {n for n in want if not want[n]}
+
+    def change(numbers, edit):
+        for n in numbers:
+            if want[n]:
+                rows[n] = (n, edit(rows[n][1]), *rows[n][2:])
+
+    own_line, city, one_site = range(30, 37), range(50, 56), range(63, 240, 12)
+    change(own_line, lambda t: t + "\n[Paste the duties here]")
+    change(city, lambda t: "\n".join("Location: #CITY#" if x.startswith("Location: ") else x for x in t.split("\n")))
+    change(one_site, lambda t: t + "\nReference {{ref}} of this site")
+    bad |= {n for k in (own_line, city, one_site) for n in k if want[n]}
+    change(range(150, 158), lambda t: t.replace("builds", "extends the ${VARIABLE} expansion and builds"))  # text
+    got = {r.detail_id for r in residue.find_residue(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == bad | {n for n in range(150, 158) if n in one_site}
+
+
 def test_nulls_blanks_and_empty_tables(spark):
     rows = [(1, None, None, None, None, "", 0), (2, "", "t", "c", "", "", 0), (3, " \n ", "t", "c", "u", "", 0), (4, "One line", None, None, None, "", 0), (4, "One line", None, None, None, "", 0),
             (5, "\n".join(["x y z"] * 3000), "x y z", "c", "https://a.test/1", "", 0), (None, "Data Engineer\nWe need {{x}}.", "Data Engineer", "c", "https://a.test/2", "", 0)]
