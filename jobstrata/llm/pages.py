@@ -153,10 +153,10 @@ def _read_pages(common: list[str], titles: list[str]):
     known, title_vocab = frozenset(common), frozenset(titles)
 
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        before = None  # site, path, keys, features, output row
+        before = None  # host, site, path, keys, features, output row
         done: list = []
         for b in batches:
-            for did, text, title, company, site, path in zip(b["detail_id"], b["raw_text"], b["title"], b["company"], b["site"], b["path"]):
+            for did, text, title, company, host, site, path in zip(b["detail_id"], b["raw_text"], b["title"], b["company"], b["host"], b["site"], b["path"]):
                 own = frozenset(w for w in _WORD.findall(company) if w[0].isupper() and len(w) > 1)
                 heading = _bare(title)
                 lines = text.split("\n")
@@ -198,18 +198,19 @@ def _read_pages(common: list[str], titles: list[str]):
                     if keys[k]:
                         bits[k] |= ABOVE if k < head else BARE if head < 0 else 0
                 full = [k for k in range(len(keys)) if keys[k]]
-                if before and before[0] == site and before[1] != path and before[2] != keys:
-                    _, _, old, old_bits, old_full = before
+                if before and before[0] == host and before[2] != path and before[3] != keys:
+                    _, old_site, _, old, old_bits, old_full = before
                     left, right = shared_lines([old[k] for k in old_full], [keys[k] for k in full])
                     if len(left) <= COPY * max(len(old_full), len(full)):  # else a copy under another address
+                        # Sites of one host needn't show the same furniture, so such a pair says nothing of what it doesn't share.
                         for k in full:
-                            bits[k] |= PAIRED
+                            bits[k] |= PAIRED if old_site == site else 0
                         for p in right:
-                            bits[full[p]] |= SHARED | NEAR
+                            bits[full[p]] |= SHARED | NEAR if old_site == site else NEAR
                         for p in left:
                             old_bits[old_full[p]] |= NEAR
-                if before is None or before[2] != keys:
-                    before = (site, path, keys, bits, full)
+                if before is None or before[3] != keys:
+                    before = (host, site, path, keys, bits, full)
                 done.append((did, keys, bits, parts, of, head))
                 if len(done) >= 2000:
                     keep = done.pop()

@@ -55,6 +55,17 @@ def test_bodies(spark, world):
     assert all(got[n] == [] for n in want if not want[n])
 
 
+def test_neighbours_of_two_sites_on_one_host(spark, world):
+    rows, want = world
+    rows = list(rows)
+    rare = "Nebalis House at Mill Lane keeps the servers of this page warm and dry."
+    for n in (228, 1):  # the last page of one company, the first of the next
+        rows[n] = (n, rows[n][1] + "\n" + rare, *rows[n][2:])
+    got = {r.detail_id: list(r.kept) for r in pages.body_lines(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert want[228] and want[1]
+    assert all(len(rows[n][1].split("\n")) not in got[n] for n in (228, 1))
+
+
 def test_residue(spark, world):
     rows, want = world
     rows = list(rows)
