@@ -52,7 +52,9 @@ def item_words(items: DataFrame, item_id: str = "item_id", text: str = "text") -
         F.transform("words", lambda w: F.length(w)).alias("wl"),
     )
     ends = joined.select("item", "words", _running("sl").alias("se"), _running("wl").alias("we"))
-    return ends.where(F.size("words") > 0).select("item", "words", "se", "we")
+    # Markup with spaces inside gives no stored words; each compared word then counts as one.
+    se = F.when(F.element_at("se", -1) == F.element_at("we", -1), F.col("se")).otherwise(F.col("we"))
+    return ends.where(F.size("words") > 0).select("item", "words", se.alias("se"), "we")
 
 
 def _running(c: str):
@@ -61,16 +63,41 @@ def _running(c: str):
     )
 
 
+def units(se: list[int], we: list[int]) -> list[tuple[int, int]]:
+    """Compared and stored words of each least stretch that holds whole ones of both."""
+    out, i, k = [], 0, 0
+    for border in sorted(set(se) & set(we)):
+        i0, k0 = i, k
+        while i < len(we) and we[i] <= border:
+            i += 1
+        while k < len(se) and se[k] <= border:
+            k += 1
+        out.append((i - i0, k - k0))
+    return out
+
+
 def segments(items: DataFrame) -> DataFrame:
     """``item, seg, at, term``: one row per word of each segment.
 
-    An item of n stored words has ``n // CHANGED + 1`` segments: that many
-    changes can't touch all of them, and RUN consecutive words always hold one.
+    An item of n stored words has at least ``n // CHANGED + 1`` segments of up
+    to CHANGED whole stored words each: that many changes can't touch all of
+    them, and RUN consecutive words always hold one.
     """
-    n = F.size("words")
-    parts = (F.floor(F.size("se") / CHANGED) + 1).cast("int")
-    flat = items.select("item", n.alias("n"), parts.alias("m"), F.posexplode("words").alias("at", "word"))
-    return flat.select("item", F.floor(F.col("at") * F.col("m") / F.col("n")).cast("int").alias("seg"), "at", F.hash("word").alias("term"))
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for item, words, se, we in zip(b["item"], b["words"], b["se"], b["we"]):
+                parts = units(list(se), list(we))
+                # A stretch of several stored words may reach beyond its segment's share.
+                parts_of = len(se) // max(1, CHANGED + 1 - max(n for _, n in parts)) + 1
+                at = before = 0
+                for size, stored in parts:
+                    rows += [(item, before * parts_of // len(se), k, words[k]) for k in range(at, at + size)]
+                    at, before = at + size, before + stored
+            yield pd.DataFrame(rows, columns=["item", "seg", "at", "word"])
+
+    flat = items.mapInPandas(cut, f"item {dict(items.dtypes)['item']}, seg int, at int, word string")
+    return flat.select("item", "seg", "at", F.hash("word").alias("term"))
 
 
 def candidates(index: DataFrame, items: DataFrame) -> DataFrame:
@@ -127,18 +154,27 @@ def _is_leak(words: list[str], item: list[str], se: list[int], we: list[int], st
     if best >= RUN:
         return True
     # 2. The whole item with few changed words: banded edit distance, free ends in the document.
+    # A stored word is changed once, however many compared words it makes.
     most = whole // CHANGED
-    lo, hi = max(0, start - most), min(len(words), start + n + most)
+    sizes = [size for size, _ in units(se, we)]
+    slack = max(most, sum(sorted(sizes)[len(sizes) - most:])) if most else 0
+    lo, hi = max(0, start - slack), min(len(words), start + n + slack)
     part = words[lo:hi]
-    if len(part) < n - most:
+    if len(part) < n - slack:
         return False
     row = [0] * (len(part) + 1)
-    for x in item:
-        prev, new = row[0], [row[0] + 1]
-        for j, y in enumerate(part, 1):
-            cost = prev + (x != y)
-            prev = row[j]
-            new.append(min(cost, prev + 1, new[-1] + 1))
+    at = 0
+    for size in sizes:
+        x = item[at:at + size]
+        at += size
+        new = [row[0] + 1]
+        if size == 1:
+            for j, y in enumerate(part, 1):
+                new.append(min(row[j - 1] + (x[0] != y), row[j] + 1, new[-1] + 1))
+        else:
+            for j in range(1, len(part) + 1):
+                cost = min(min(row[max(0, j - size - 1):j + 1]), new[-1]) + 1
+                new.append(min(cost, row[j - size]) if j >= size and part[j - size:j] == x else cost)
         row = new
         if min(row) > most:
             return False

@@ -95,3 +95,22 @@ def test_nulls_repeats_empty_and_long(spark):
     items = [(9, ITEM, 0), (8, None, 0), (7, "", 0), (6, "...", 0), (9, ITEM, 0)]
     assert found(spark, docs, items) == {(4, 9), (5, 9), (6, 9), (None, 9)}
     assert found(spark, [], items) == set() and found(spark, docs, []) == set()
+
+
+def test_words_of_many_parts(spark):
+    rng = random.Random(12)
+    item = " ".join("-".join(rng.choice(WORDS) + str(10 * k + j) for j in range(4)) if k % 2 else rng.choice(WORDS) + f"x{k}" for k in range(32))
+    words = item.split()
+    parts = leaks.segments(leaks.item_words(spark.createDataFrame([(9, item, 0)], ITEMS)))
+    joined = [len(re.findall("[a-z0-9]+", w)) for w in words]
+    borders = {sum(joined[:k]) for k in range(len(joined))}
+    firsts = {r.at for r in parts.groupBy("seg").agg({"at": "min"}).withColumnRenamed("min(at)", "at").collect()}
+    assert firsts <= borders and len(firsts) == 32 // leaks.CHANGED + 1
+    docs = []
+    for n in range(18):  # runs of 15 stored words are leaks, wherever they begin; 14 are none
+        docs += [(n, "before " + " ".join(words[n:n + 15]) + " after", 0), (100 + n, "before " + " ".join(words[n:n + 14]) + " after", 0)]
+    for n, some in ((200, (1, 9, 17, 25)), (201, (1, 9, 17, 25, 29))):  # four of 32 may be changed
+        docs.append((n, " ".join("changed" if k in some else w for k, w in enumerate(words)), 0))
+    got = found(spark, docs, [(9, item, 0)])
+    assert {d for d, _ in got if d < 200} == set(range(18))
+    assert (200, 9) in got and (201, 9) not in got
