@@ -30,11 +30,11 @@ AGREE_SHARE = 0.8
 
 # Marks of template languages around a variable's name.
 _MARKS = re.compile(
-    r"\{\{[^{}\n]{1,60}\}\}|\$\{[^{}\n]{1,60}\}|\{%[^%\n]{1,60}%\}|\{[A-Za-z][^{}\n]{0,40}\}|\{ [^{}\n]{1,40} \}"
-    r"|<%[^%\n]{1,60}%>|<<[^<>\n]{1,60}>>|<[A-Za-z][\w .-]{1,40}>"
-    r"|\[\[[^\[\]\n]{1,60}\]\]|\[[A-Za-z][^\[\]\n]{1,60}\]|\[\s*\]"
-    r"|@@[\w .-]{1,40}@@|__[A-Za-z][\w .-]*?__|%[A-Za-z][\w.]{1,40}%|#[A-Za-z][\w.]{1,40}#|~[A-Za-z][\w.]{1,40}~"
-    r"|\bXX [\w .-]{1,40}? XX\b|\((?:enter|insert|your|add|fill in|type)\b[^()\n]{0,60}\)|_{3,}",
+    r"\{\{[^{}\n]+\}\}|\$\{[^{}\n]+\}|\{%[^%\n]+%\}|\{[A-Za-z][^{}\n]*\}|\{ [^{}\n]+ \}"
+    r"|<%[^%\n]+%>|<<[^<>\n]+>>|<[A-Za-z][\w .-]+>"
+    r"|\[\[[^\[\]\n]+\]\]|\[[A-Za-z][^\[\]\n]+\]|\[\s*\]"
+    r"|@@[\w .-]+@@|__[A-Za-z][\w .-]*?__|%[A-Za-z][\w.]+%|#[A-Za-z][\w.]+#|~[A-Za-z][\w.]+~"
+    r"|\bXX [\w .-]+? XX\b|\((?:enter|insert|your|add|fill in|type)\b[^()\n]*\)|_{3,}",
     re.I,
 )
 # Names of HTML elements, which aren't variables.

@@ -109,6 +109,16 @@ def test_slot_left_open_alike_on_many_pages(spark, world):
     assert got == bad | {n for n in range(150, 158) if n in one_site}
 
 
+@pytest.mark.parametrize("note", [
+    "[Insert two or three sentences about what the team does and whom it serves]", "{{one paragraph on the team, its work and the people and firms it serves}}",
+    "{Short paragraph on the team, its work and the people}", "<Short paragraph on the team and the people it serves>", "(add two or three sentences about what the team does and whom it serves)",
+])
+def test_long_marks(spark, note):
+    text = f"Data Engineer\nThe team builds maps.\n{note}"
+    got = residue.fragments(spark.createDataFrame([(1, text, "Data Engineer", "c", "https://a.test/1", "", 0)], SCHEMA)).collect()
+    assert [(r.detail_id, r.fill) for r in got] == [(1, note)]
+
+
 def test_nulls_blanks_and_empty_tables(spark):
     rows = [(1, None, None, None, None, "", 0), (2, "", "t", "c", "", "", 0), (3, " \n ", "t", "c", "u", "", 0), (4, "One line", None, None, None, "", 0), (4, "One line", None, None, None, "", 0),
             (5, "\n".join(["x y z"] * 3000), "x y z", "c", "https://a.test/1", "", 0), (None, "Data Engineer\nWe need {{x}}.", "Data Engineer", "c", "https://a.test/2", "", 0)]
