@@ -6,7 +6,9 @@ within its site; bands of the signature are the keys of a stored index, which
 is partitioned by a hash of the key.  A batch probes only the partitions its
 own keys fall into, verifies what it meets there (signature, then the identity
 itself), takes the record accepted first, and appends the identities it is the
-first to have.  The history is never read again in full.
+first to have.  A small batch so reads part of the history; one whose keys fall
+into all partitions, from a few hundred keys on, scans the whole index once.
+The records themselves are never read again.
 
 Equal identities have equal signatures, so the bands lose none of them; what
 similar but different identities share a band is told apart by verification.
