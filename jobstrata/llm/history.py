@@ -1,165 +1,160 @@
 """Checking new batches for duplicates against everything accepted before.
 
-Each record has up to two identities: its id, and the posting its URL leads to.
-An identity is reduced to a minwise signature over shingles of its requisition
-within its site; bands of the signature are the keys of a stored index, which
-is partitioned by a hash of the key.  A batch probes only the partitions its
-own keys fall into, verifies what it meets there (signature, then the identity
-itself), takes the record accepted first, and appends the identities it is the
-first to have.  A small batch so reads part of the history; one whose keys fall
-into all partitions, from a few hundred keys on, scans the whole index once.
-The records themselves are never read again.
-
-Equal identities have equal signatures, so the bands lose none of them; what
-similar but different identities share a band is told apart by verification.
+Records are one posting if they share an identity: the id, or the posting
+their URL leads to.  A record so has two bands of one feature each, and the
+minimum hash over a band's only feature is that feature's hash: a band key is a
+128-bit hash of the identity, and equal keys are equal identities, so there is
+no similarity below 1 left to verify.  (Similar requisition numbers are
+different postings; shingles of them would only add candidates.)
+
+The keys are stored in an index of hash buckets, sorted inside.  A batch is
+laid out in the same buckets, so that it alone is moved and the history stays
+where it is; a small batch reads only the buckets and row groups its keys can
+be in.  Of each key the record accepted first is kept, of each batch the keys
+it was the first to have are appended.  Postings that a later record ties are
+merged in a map of its own, which holds tied records only.  The records
+themselves are never read again.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
+from contextlib import contextmanager
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from jobstrata.functions.text import norm_id
-from jobstrata.functions.urls import posting_key, url_parts
+from jobstrata.llm.addresses import posting_key, url_parts
 from jobstrata.operators.components import components
-from jobstrata.session import list_names, materialize, path_exists, release, scratch_path
+from jobstrata.session import delete_path, list_names, materialize, path_exists, release, scratch_path
 from jobstrata.sources.tables import job_rows
 
-#: Bands of the signature and minima in a band.
-BANDS, ROWS = 2, 6
-#: Partitions of the index.
-BUCKETS = 32
-#: Share of agreeing minima below which a candidate isn't looked at further.
-SIMILAR = 0.8
+#: Up to so many identities of a batch are sent along with the scan of the
+#: index, which then reads only what can hold them (the rows found are the same).
+PROBE = 4000
 #: Batches that the query feeds one after the other.
 BATCHES = 3
 
-INDEX = "key long, ident long, sig binary, first_row_id long, bucket int"
-_ODD = np.random.default_rng(20240229).integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
-
-
-@F.pandas_udf(T.BinaryType())
-def _signatures(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """Lowest byte of each minimum over the 8-byte shingles of a token, salted by its scope."""
-    for tokens, scopes in batches:
-        if not len(tokens):
-            yield pd.Series([], dtype=object)
-            continue
-        raw = [t.encode() or b"\0" for t in tokens]
-        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
-        # Zeros after each token: one shingle starts at every byte of it.
-        body = np.frombuffer(b"\0\0\0\0\0\0\0".join(raw) + b"\0" * 8, np.uint8)
-        starts = np.concatenate(([0], np.cumsum(sizes + 7)[:-1]))
-        at = np.repeat(starts - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes) + np.arange(sizes.sum())
-        grams = np.zeros(len(at), np.uint64)
-        for k in range(8):
-            grams |= body[at + k].astype(np.uint64) << np.uint64(8 * k)
-        grams ^= np.repeat(scopes.to_numpy(np.int64).view(np.uint64), sizes)
-        grams ^= grams >> np.uint64(29)
-        heads = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-        out = np.empty((len(raw), len(_ODD)), np.uint8)
-        for k, odd in enumerate(_ODD):
-            mixed = grams * odd
-            mixed ^= mixed >> np.uint64(32)
-            out[:, k] = (np.minimum.reduceat(mixed, heads) * odd >> np.uint64(56)).astype(np.uint8)
-        yield pd.Series([r.tobytes() for r in out], dtype=object)
-
-
-def identities(rows: DataFrame) -> DataFrame:
-    """``row_id, ident, sig``: up to two rows for each of ``rows(row_id, id, url)``.
+_PLACES = "row_id long, a long, b long"
+_TIES = "node long, root long"
 
-    A blank id or URL, or one of a careers page in general, gives no identity.
-    """
-    parts = url_parts(rows.select("row_id", "id", "url"), "url")
-    keyed = parts.select("row_id", norm_id(F.col("id")).alias("i"), posting_key(F.col("_host"), F.col("_path"), F.col("_query")).alias("u"))
-    own = F.struct(F.lit("").alias("scope"), F.col("i").alias("token"))
-    led = F.struct(F.regexp_extract("u", r"^(.*) \S+$", 1).alias("scope"), F.substring_index("u", " ", -1).alias("token"))
-    flat = keyed.select("row_id", F.explode(F.array(own, led)).alias("f")).where("f.token is not null and f.token != ''")
-    return flat.select(
-        "row_id", F.xxhash64("f.scope", "f.token").alias("ident"),
-        _signatures(F.col("f.token"), F.xxhash64("f.scope")).alias("sig"),
-    )
-
-
-def _banded(idents: DataFrame) -> DataFrame:
-    keys = F.array(*[F.xxhash64(F.lit(b), F.substring("sig", b * ROWS + 1, ROWS)) for b in range(BANDS)])
-    return idents.withColumn("key", F.explode(keys)).withColumn("bucket", F.pmod(F.hash("key"), F.lit(BUCKETS)).cast("int"))
 
+def identities(rows: DataFrame, *keep: str) -> DataFrame:
+    """``row_id, key`` (and ``keep``): up to two rows for each of ``rows(row_id, id, url)``.
 
-def _alike(a: str, b: str):
-    pairs = F.transform(F.sequence(F.lit(1), F.lit(BANDS * ROWS)), lambda k: (F.substring(F.col(a), k, 1) == F.substring(F.col(b), k, 1)).cast("int"))
-    return F.aggregate(pairs, F.lit(0), lambda x, y: x + y) >= SIMILAR * BANDS * ROWS
+    A blank id or URL, or one of a careers page in general, gives no identity.
+    """
+    parts = url_parts(rows.select("row_id", "id", "url", *keep), "url")
+    own = F.concat(F.lit("i "), norm_id(F.col("id")))
+    led = F.concat(F.lit("u "), posting_key(F.col("_host"), F.col("_path"), F.col("_query")))
+    flat = parts.select("row_id", *keep, F.explode(F.array_compact(F.array(own, led))).alias("_token"))
+    return flat.select("row_id", *keep, F.unhex(F.md5(F.encode("_token", "UTF-8"))).alias("key"))
 
 
 class History:
     """Index of the identities of all accepted records, below one folder.
 
     Batches are numbered; a batch that is accepted again replaces its own
-    output, so a run that was broken off can be repeated.
+    output, so a run that was broken off can be repeated.  The number of
+    buckets is set when the first batch comes (the session's shuffle
+    partitions, if it isn't given) and stays.
     """
 
-    def __init__(self, spark: SparkSession, folder: str) -> None:
+    def __init__(self, spark: SparkSession, folder: str, buckets: int | None = None) -> None:
         self.spark, self.folder = spark, folder
+        laid = [n for n in list_names(spark, folder) if n.startswith("index-")]
+        self.buckets = int(laid[0][6:]) if laid else buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def _home(self, what: str) -> str:
+        return f"{self.folder}/index-{self.buckets}" if what == "index" else f"{self.folder}/{what}"
 
     def _parts(self, what: str, below: int | None = None) -> list[str]:
-        names = [n for n in list_names(self.spark, f"{self.folder}/{what}") if n.startswith("batch=")]
-        numbers = [n for n in names if below is None or int(n[6:]) < below]
-        return [f"{self.folder}/{what}/{n}" for n in numbers if path_exists(self.spark, f"{self.folder}/{what}/{n}/_SUCCESS")]
-
-    def index(self, before: int, buckets: list[int] | None = None) -> DataFrame:
-        """Index rows of the batches before ``before``, of the given partitions only."""
-        parts = self._parts("index", before)
-        if not parts:
-            return self.spark.createDataFrame([], INDEX)
-        out = self.spark.read.schema(INDEX).option("basePath", f"{self.folder}/index").parquet(*parts)
-        return out if buckets is None else out.where(F.col("bucket").isin(buckets))
+        home = self._home(what)
+        names = [n for n in list_names(self.spark, home) if n.startswith("batch=") and (below is None or int(n[6:]) < below)]
+        return [f"{home}/{n}" for n in names if path_exists(self.spark, f"{home}/{n}/_SUCCESS")]
+
+    def _read(self, what: str, schema: str, below: int | None = None) -> DataFrame:
+        parts = self._parts(what, below)
+        return self.spark.read.schema(schema).parquet(*parts) if parts else self.spark.createDataFrame([], schema)
+
+    @contextmanager
+    def _table(self, below: int):
+        """The index of the batches before ``below`` as a bucketed table."""
+        name = f"jobstrata_index_{uuid.uuid4().hex}"
+        self.spark.sql(
+            f"CREATE TABLE {name} (key binary, first_row_id long, batch string) USING parquet PARTITIONED BY (batch) "
+            f"CLUSTERED BY (key) SORTED BY (key) INTO {self.buckets} BUCKETS LOCATION '{self._home('index')}'"
+        )
+        try:
+            parts = [p for p in self._parts("index", below) if path_exists(self.spark, f"{p}/fresh=1")]
+            if parts:
+                each = " ".join(f"PARTITION (batch='{p[-6:]}') LOCATION '{p}/fresh=1'" for p in parts)
+                self.spark.sql(f"ALTER TABLE {name} ADD {each}")
+            yield self.spark.table(name)
+        finally:
+            self.spark.sql(f"DROP TABLE {name}")  # external: the files stay
+
+    def _write_bucketed(self, df: DataFrame, path: str) -> None:
+        name = f"jobstrata_batch_{uuid.uuid4().hex}"
+        delete_path(self.spark, path)
+        try:
+            df.write.format("parquet").option("path", path).partitionBy("fresh").bucketBy(self.buckets, "key").sortBy("key").saveAsTable(name)
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
     def accept(self, batch: int, rows: DataFrame) -> DataFrame:
-        """Take in one batch; ``row_id, a, b`` of its rows that have an identity.
+        """Take in one batch of ``row_id, id, url``; see :meth:`accept_identities`."""
+        mine = materialize(identities(rows), "identities")
+        out = self.accept_identities(batch, mine)
+        release(mine)
+        return out
+
+    def accept_identities(self, batch: int, mine: DataFrame) -> DataFrame:
+        """Take in one batch of stored ``row_id, key``; ``row_id, a, b`` of its rows.
 
         ``a`` and ``b`` are the smallest and largest of the rows that were the
         first to have an identity of the row (often the row itself).
         """
-        mine = materialize(identities(rows), "identities")
-        own = mine.groupBy("ident", "sig").agg(F.min("row_id").alias("first_row_id"))
-        banded = materialize(_banded(own), "banded")
-        here = [r[0] for r in banded.select("bucket").distinct().collect()]  # at most BUCKETS
-        stored = self.index(batch, here if len(here) < BUCKETS else None).select(
-            "bucket", "key", F.col("ident").alias("_ident"), F.col("sig").alias("_sig"), F.col("first_row_id").alias("_first")
-        )
-        met = banded.join(stored, ["bucket", "key"]).where(_alike("sig", "_sig") & (F.col("ident") == F.col("_ident")))
-        older = met.groupBy("ident").agg(F.min("_first").alias("_first"))
-        fresh = banded.join(older, "ident", "left_anti")
-        fresh.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.folder}/index/batch={batch:06d}")
-        firsts = own.join(older, "ident", "left").select("ident", F.coalesce("_first", "first_row_id").alias("first"))
-        places = mine.select("row_id", "ident").join(firsts, "ident").groupBy("row_id").agg(
-            F.min("first").alias("a"), F.max("first").alias("b")
-        )
+        own = mine.groupBy("key").agg(F.min("row_id").alias("_own"))
+        home = f"{self._home('index')}/batch={batch:06d}"
+        with self._table(batch) as stored:
+            if mine.count() <= PROBE:
+                stored = stored.where(F.col("key").isin([r.key for r in mine.select("key").distinct().collect()]))
+            met = own.hint("shuffle_hash").join(stored.select("key", "first_row_id"), "key", "left")
+            firsts = met.select("key", F.coalesce("first_row_id", "_own").alias("first_row_id"), F.col("first_row_id").isNull().cast("int").alias("fresh"))
+            self._write_bucketed(firsts, home)
+        firsts = self.spark.read.schema("key binary, first_row_id long").parquet(home)
+        places = mine.join(firsts, "key").groupBy("row_id").agg(F.min("first_row_id").alias("a"), F.max("first_row_id").alias("b"))
         out = f"{self.folder}/accepted/batch={batch:06d}"
         places.write.mode("overwrite").parquet(out)
-        release(mine, banded)
-        return self.spark.read.schema("row_id long, a long, b long").parquet(out)
+        placed = self.spark.read.schema(_PLACES).parquet(out)
+        self._tie(batch, placed.where("a != b").select("a", "b"))
+        return placed
+
+    def ties(self, below: int | None = None) -> DataFrame:
+        """``node, root``: records that were first apart from ``root`` and are tied to it by a later one."""
+        parts = self._parts("ties", below)
+        return self.spark.read.schema(_TIES).parquet(parts[-1]) if parts else self.spark.createDataFrame([], _TIES)
+
+    def _tie(self, batch: int, pairs: DataFrame) -> None:
+        """Merge what the batch's ``a, b`` tie into the map as it was before the batch."""
+        old = self.ties(batch)
+        a, b = (old.select(F.col("node").alias(f"_{x}"), F.col("root").alias(f"_r{x}")) for x in "ab")
+        now = pairs.distinct().join(a, F.col("a") == F.col("_a"), "left").join(b, F.col("b") == F.col("_b"), "left")
+        merged = components(now.select(F.coalesce("_ra", "a").alias("u"), F.coalesce("_rb", "b").alias("v")))
+        moved = old.join(merged.select(F.col("node").alias("_n"), F.col("root").alias("_r")), F.col("root") == F.col("_n"), "left")
+        new = moved.select("node", F.coalesce("_r", "root").alias("root")).unionByName(merged)
+        new.write.mode("overwrite").parquet(f"{self.folder}/ties/batch={batch:06d}")
+        release(merged)
 
     def accepted(self) -> DataFrame:
-        parts = self._parts("accepted")
-        if not parts:
-            return self.spark.createDataFrame([], "row_id long, a long, b long")
-        return self.spark.read.schema("row_id long, a long, b long").parquet(*parts)
+        return self._read("accepted", _PLACES)
 
     def repeats(self) -> DataFrame:
-        """``first_row_id, row_id`` of every row that isn't the first of its posting.
-
-        Records that were first apart and are tied by a later one are one posting.
-        """
-        rows = self.accepted()
-        tied = components(rows.where("a != b"), "a", "b")
+        """``first_row_id, row_id`` of every row that isn't the first of its posting."""
         return (
-            rows.select("row_id", "a").join(tied, F.col("a") == F.col("node"), "left")
+            self.accepted().select("row_id", "a").join(self.ties(), F.col("a") == F.col("node"), "left")
             .select(F.coalesce("root", "a").alias("first_row_id"), "row_id").where("first_row_id != row_id")
         )
 
@@ -169,16 +164,20 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     span = rows.agg(F.min("row_id"), F.max("row_id")).first()
     history = History(spark, scratch_path(spark, "history"))
     if span[0] is None:
-        return history.accepted().select(F.col("a").alias("first_row_id"), "row_id")
+        return history.repeats()
     width = (span[1] - span[0]) // BATCHES + 1
+    # Addresses are read once, and the identities laid out by batch.
+    arrived = scratch_path(spark, "arrived")
+    identities(rows.withColumn("batch", F.expr(f"(row_id - {span[0]}) div {width}")), "batch").write.partitionBy("batch").parquet(arrived)
     for k in range(BATCHES):
-        lo = span[0] + k * width
-        history.accept(k, rows.where((F.col("row_id") >= lo) & (F.col("row_id") < lo + width)))
+        if path_exists(spark, f"{arrived}/batch={k}"):
+            history.accept_identities(k, spark.read.schema("row_id long, key binary").parquet(f"{arrived}/batch={k}"))
+    delete_path(spark, arrived)
     return history.repeats()
 
 
-def _sql(rounds: int = 6) -> str:
-    """The same rows in SQL: addresses read alike, smallest rows spread over shared identities."""
+def _sql() -> str:
+    """The same rows in SQL: addresses read alike, smallest rows spread over shared identities until nothing changes."""
     blank = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(160) || chr(8203)"
     uuid = "[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"
     number = "(?:req[-_]?|jr[-_]?|r[-_]|job[-_]?)?[0-9]{4,}"
@@ -203,13 +202,11 @@ def _sql(rounds: int = 6) -> str:
         "f AS (SELECT row_id, i, CASE WHEN asked <> '' THEN concat_ws(' ', host, split_part(ltrim(path, '/'), '/', 1), asked) WHEN named <> '' THEN concat_ws(' ', host, named) "
         "WHEN closing <> '' THEN concat_ws(' ', host, left(path, length(path) - length(closing)), split_part(ltrim(closing, '/'), '/', 1)) END AS p FROM e)",
         "g AS (SELECT row_id, 'i' || i AS k FROM f WHERE i IS NOT NULL UNION ALL SELECT row_id, 'u' || p FROM f WHERE p IS NOT NULL)",
-        "l0 AS (SELECT DISTINCT row_id, row_id AS l FROM g)",
+        "l(row_id, l) USING KEY (row_id) AS (SELECT DISTINCT row_id, row_id FROM g UNION "
+        "SELECT g.row_id, min(m.m) FROM g JOIN (SELECT g.k, min(c.l) AS m FROM g JOIN recurring.l c USING (row_id) GROUP BY g.k) m USING (k) "
+        "JOIN recurring.l c ON c.row_id = g.row_id GROUP BY g.row_id HAVING min(m.m) < min(c.l))",
     ]
-    for k in range(rounds):
-        steps.append(
-            f"l{k + 1} AS (SELECT g.row_id, min(m.m) AS l FROM g JOIN (SELECT g.k, min(l{k}.l) AS m FROM g JOIN l{k} USING (row_id) GROUP BY g.k) m USING (k) GROUP BY g.row_id)"
-        )
-    return f"WITH {', '.join(steps)} SELECT l AS first_row_id, row_id FROM l{rounds} WHERE l <> row_id"
+    return f"WITH RECURSIVE {', '.join(steps)} SELECT l AS first_row_id, row_id FROM l WHERE l <> row_id"
 
 
 P1_SQL = _sql()

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobstrata.functions.urls import url_parts
+from jobstrata.llm.addresses import url_parts
 from jobstrata.session import materialize
 from jobstrata.sources.tables import table
 
