@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from jobstrata.session import materialize, release
 
+#: A path of n nodes takes about log2 n rounds, so this many suffice for any table.
 _ROUNDS = 64
 
 
@@ -46,6 +47,8 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
         # Stars that no longer change have the same number of edges and the same checksum.
         state = tuple(now.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first())
         if state == before:
-            break
+            out = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+            out._scratch = now._scratch  # for release()
+            return out
         before = state
-    return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    raise RuntimeError(f"no components after {_ROUNDS} rounds")
