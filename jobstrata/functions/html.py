@@ -13,23 +13,24 @@ from pyspark.sql import types as T
 HIDDEN = ("script", "style", "head", "noscript", "iframe", "nav", "footer")
 
 
-class _Stream(HTMLParser):
-    """Turns markup into a flat list: +1 and -1 for hidden elements, text for the rest."""
+class _Shown(HTMLParser):
+    """Collects the text chunks that stand outside every hidden element."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.items: list[int | str] = []
+        self.level = 0
+        self.chunks: list[str] = []
 
     def handle_starttag(self, tag, attrs) -> None:
-        if tag in HIDDEN:
-            self.items.append(1)
+        self.level += tag in HIDDEN
 
     def handle_endtag(self, tag) -> None:
-        if tag in HIDDEN:
-            self.items.append(-1)
+        if tag in HIDDEN and self.level:
+            self.level -= 1
 
     def handle_data(self, data) -> None:
-        self.items.append(data)
+        if self.level == 0 and (chunk := data.strip()):
+            self.chunks.append(chunk)
 
 
 def visible(markup: str | None) -> str:
@@ -41,18 +42,12 @@ def visible(markup: str | None) -> str:
     """
     if not markup:
         return ""
-    stream = _Stream()
+    page = _Shown()
     try:
-        stream.feed(markup)
+        page.feed(markup)
     except (AssertionError, ValueError):
         return ""
-    shown, level = [], 0
-    for item in stream.items:
-        if isinstance(item, int):
-            level = max(level + item, 0)
-        elif level == 0 and (chunk := item.strip()):
-            shown.append(chunk)
-    return "\n".join(shown)
+    return "\n".join(page.chunks)
 
 
 @F.pandas_udf(T.StringType())

@@ -1,8 +1,8 @@
 """Processing only new or changed input, exactly once.
 
-A *unit* is whatever arrives as a whole: a file, or a commit of the history.
-A manifest table records every unit that a finished run has taken, with its
-size and checksum.  A run
+A *unit* is whatever arrives as a whole; here it is a file.  A manifest table
+records every unit that a finished run has taken, with its size and checksum
+and the number of the run.  A run
 
 1. lists the input,
 2. anti-joins the listing against the manifest,
@@ -12,7 +12,12 @@ size and checksum.  A run
 
 A run that dies before step 4 leaves nothing that readers can see, because
 :func:`read_batches` takes only batches whose manifest entry is complete; the
-next run finds the same pending units and the same identifier.
+next run finds the same pending units and the same identifier.  A unit that
+changed is taken anew, and what earlier runs made of it is dropped.
+
+:func:`next_run` keeps a state table of what it has read (key, position, hash
+of the record), so that rows of new files find the rows before them without
+the older files being read again.
 """
 
 from __future__ import annotations
@@ -24,13 +29,20 @@ from pyspark.sql import functions as F
 
 from jobstrata.functions.text import instant, norm_id, norm_sha
 from jobstrata.session import list_names, materialize, path_exists
+from jobstrata.sources.buckets import BucketStore
 
 UNIT_SCHEMA = "unit string, size long, checksum long"
-MANIFEST_SCHEMA = UNIT_SCHEMA + ", batch string"
+MANIFEST_SCHEMA = UNIT_SCHEMA + ", batch string, run long"
 #: Rows of one record are compared in blocks of at most this many row ids.
 BLOCK = 1 << 16
 
 
+def _path(c: Column) -> Column:
+    """One spelling of a file's path: without escapes, local ones with a single slash."""
+    plain = F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c)
+    return F.regexp_replace(plain, r"^file:/+", "file:/")
+
+
 def list_files(spark: SparkSession, path: str, *, content: bool = True, glob: str = "*") -> DataFrame:
     """``unit, size, checksum`` of each file below ``path``.
 
@@ -44,7 +56,7 @@ def list_files(spark: SparkSession, path: str, *, content: bool = True, glob: st
         .load(path)
     )
     checksum = F.xxhash64("content") if content else F.xxhash64("length", "modificationTime")
-    return files.select(F.col("path").alias("unit"), F.col("length").alias("size"), checksum.alias("checksum"))
+    return files.select(F.regexp_replace("path", r"^file:/+", "file:/").alias("unit"), F.col("length").alias("size"), checksum.alias("checksum"))
 
 
 def pending_units(listing: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -88,13 +100,27 @@ def read_manifest(spark: SparkSession, manifest: str) -> DataFrame:
     return spark.read.schema(MANIFEST_SCHEMA).parquet(*done)
 
 
-def read_batches(spark: SparkSession, out: str, manifest: str, schema) -> DataFrame:
-    """Output of all committed batches, and of no other."""
-    done = [f"{out}/{d.rsplit('/', 1)[1]}" for d in _finished(spark, manifest)]
-    done = [d for d in done if path_exists(spark, d)]
-    if not done:
+def superseded(units: DataFrame) -> DataFrame:
+    """``batch, unit`` of manifest rows whose unit a later run has taken again."""
+    last = units.groupBy("unit").agg(F.max("run").alias("_last"))
+    return units.join(last, "unit").where("run < _last").select("batch", "unit").distinct()
+
+
+def read_batches(spark: SparkSession, out: str, manifest: str, schema: str) -> DataFrame:
+    """Output of all committed batches, and of no other.
+
+    Where the output has a column ``unit``, rows of a unit that a later run
+    has taken again are left out.
+    """
+    done = [(d, f"{out}/{d.rsplit('/', 1)[1]}") for d in _finished(spark, manifest)]
+    paths = [o for _, o in done if path_exists(spark, o)]
+    if not paths:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*done)
+    rows = spark.read.schema(schema).parquet(*paths)
+    if "unit" in rows.columns:
+        named = spark.read.schema(f"{schema}, batch string").option("basePath", out).parquet(*paths)
+        rows = named.join(superseded(read_manifest(spark, manifest)), ["batch", "unit"], "left_anti").select(*rows.columns)
+    return rows
 
 
 def run_incremental(
@@ -119,12 +145,16 @@ def run_incremental(
     if batch is None:
         return None
     process(pending).write.mode("overwrite").parquet(f"{out}/batch={batch}")
-    pending.select("unit", "size", "checksum").withColumn("batch", F.lit(batch)).coalesce(1).write.mode(
-        "overwrite"
-    ).parquet(f"{manifest}/batch={batch}")
+    taken = pending.select("unit", "size", "checksum").withColumn("batch", F.lit(batch)).withColumn("run", F.lit(run_number(spark, manifest)).cast("long"))
+    taken.coalesce(1).write.mode("overwrite").parquet(f"{manifest}/batch={batch}")
     return batch
 
 
+def run_number(spark: SparkSession, manifest: str) -> int:
+    """Number of the run that comes next."""
+    return len(_finished(spark, manifest))
+
+
 def resolve_shas(done: DataFrame, history: DataFrame) -> DataFrame:
     """Full names of the commits that a hand-kept list names.
 
@@ -172,8 +202,8 @@ def attach_commit(rows: DataFrame, history: DataFrame) -> DataFrame:
     )
 
 
-def changed_rows(rows: DataFrame, key: Column, order: tuple[str, str], state: Column) -> DataFrame:
-    """``row_id, seq`` of rows that open their record or differ from the row before.
+def changed_rows(rows: DataFrame, key: Column, order: tuple[str, str], state: Column, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``row_id, seq`` (and ``keep``) of rows that open their record or differ from the row before.
 
     ``key`` null drops the row.  Rows of a record lie in order of ``order``
     (a coarse position and a unique long).  A record may hold any share of all
@@ -183,18 +213,18 @@ def changed_rows(rows: DataFrame, key: Column, order: tuple[str, str], state: Co
     """
     seq, rid = order
     slim = rows.withColumn("_key", key).where("_key is not null").select(
-        F.struct(F.xxhash64("_key"), F.hash("_key")).alias("k"), F.col(seq).alias("s"), F.col(rid).alias("r"), state.alias("v")
+        F.col("_key").alias("k"), F.col(seq).alias("s"), F.col(rid).alias("r"), state.alias("v"), F.struct(F.lit(0), *keep).alias("x")
     )
     slim = slim.withColumn("b", F.floor(F.col("r") / BLOCK)).repartition("k", "s", "b")
     inside = Window.partitionBy("k", "s", "b").orderBy("r")
     marked = slim.withColumn("p", F.lag(F.struct("v")).over(inside))
-    later = marked.where("p is not null and p.v != v").select("r", "s")
+    later = marked.where("p is not null and p.v != v").select("r", "s", "x")
     ends = slim.groupBy("k", "s", "b").agg(
-        F.min("r").alias("r"), F.min_by("v", "r").alias("first"), F.max_by("v", "r").alias("last")
+        F.min("r").alias("r"), F.min_by("v", "r").alias("first"), F.max_by("v", "r").alias("last"), F.min_by("x", "r").alias("x")
     )
     between = Window.partitionBy("k").orderBy("s", "b")
-    opening = ends.withColumn("p", F.lag("last").over(between)).where("p is null or p != first").select("r", "s")
-    return opening.unionByName(later).select(F.col("r").alias(rid), F.col("s").alias(seq))
+    opening = ends.withColumn("p", F.lag("last").over(between)).where("p is null or p != first").select("r", "s", "x")
+    return opening.unionByName(later).select(F.col("r").alias(rid), F.col("s").alias(seq), *[F.col(f"x.{c}").alias(c) for c in keep])
 
 
 #: Columns whose change makes a record changed.
@@ -203,36 +233,62 @@ TRACKED = ("company_name", "title", "terms", "date_posted", "url")
 
 def posting_state(columns: tuple[str, ...] = TRACKED) -> Column:
     """Hash of the tracked columns as stored; null and the empty text are equal."""
-    return F.xxhash64(*[F.coalesce(F.col(c), F.lit("")) for c in columns])
+    return F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+
+
+#: Columns of the state table: the record, its rows' positions and hashes, the file they came in.
+STATE = "key binary, seq long, commit string, row_id long, state long, file string, run long"
 
 
-def commit_listing(rows: DataFrame) -> DataFrame:
-    """Commits as units: number of rows as size, order-free hash of them as checksum."""
-    return rows.where("_unit is not null").groupBy(F.col("_unit").alias("unit")).agg(
-        F.count("*").alias("size"),
-        F.expr("bit_xor(xxhash64(row_id, id, company_name, title, terms, date_posted, url))").alias("checksum"),
+def placed_rows(rows: DataFrame, history: DataFrame) -> DataFrame:
+    """``key, seq, commit, row_id, state, file`` of job rows with an id (and a column ``file``)."""
+    at = attach_commit(rows, history).withColumn("_id", norm_id(F.col("id"))).where("_id is not null")
+    return at.select(
+        F.unhex(F.md5(F.encode("_id", "UTF-8"))).alias("key"), F.col("_seq").alias("seq"), F.col("_unit").alias("commit"),
+        "row_id", posting_state().alias("state"), "file",
     )
 
 
-def next_run(
-    rows: DataFrame, history: DataFrame, done: DataFrame, out: str, manifest: str
-) -> str | None:
-    """Write the rows of unfinished commits that add or change a posting record.
+def next_run(spark: SparkSession, path: str, history: DataFrame, done: DataFrame, home: str, *, content: bool = False) -> str | None:
+    """Take the new and changed files below ``path``; the batch identifier, or None.
 
-    ``rows`` are job rows with a unique long ``row_id``; ``history`` is
-    ``seq, sha, commit_date``; ``done`` is the hand-kept ``sha`` list, which
-    counts beside the manifest.  Rows without an id are in no record.
+    Written are ``row_id, unit`` of those of their rows that add or change a
+    posting record and whose commit isn't done (read them by :func:`taken`).
+    ``history`` is ``seq, sha, commit_date``; ``done`` is the hand-kept ``sha``
+    list.  Rows of done commits are taken into the state, so that later rows
+    can be told from them.  Rows without an id are in no record, rows of no
+    known commit belong to no run.
     """
-    spark = rows.sparkSession
-    placed = attach_commit(rows, history)
-    also = resolve_shas(done, history).select(
-        "unit", F.lit(None).cast("long").alias("size"), F.lit(None).cast("long").alias("checksum")
-    )
+    out, manifest = f"{home}/out", f"{home}/manifest"
+    units = read_manifest(spark, manifest)
+    run = run_number(spark, manifest)
+    store = BucketStore(spark, f"{home}/state", STATE)
 
     def process(pending: DataFrame) -> DataFrame:
+        # The file source keeps this list on the driver as well.
+        files = [r.unit for r in pending.select("unit").collect()]
+        rows = spark.read.parquet(*files).withColumn("file", _path(F.col("_metadata.file_path")))
+        mine = materialize(placed_rows(rows, history).withColumn("run", F.lit(run).cast("long")), "placed")
+        both = mine.withColumn("old", F.lit(False))
+        with store.table(run) as known:
+            if run:
+                # Only the keys of the new rows are moved, not the state.
+                keys = mine.groupBy("key").agg(F.first("run").alias("_any"))
+                before = keys.join(known, "key").drop("_any")
+                gone = superseded(units).join(units.select("batch", "unit", "run").distinct(), ["batch", "unit"]).select(F.col("unit").alias("file"), "run")
+                before = before.join(gone, ["file", "run"], "left_anti").join(pending.select(F.col("unit").alias("file")), "file", "left_anti")
+                both = both.unionByName(materialize(before.withColumn("old", F.lit(True)), "before"))
+            store.write(run, mine.repartition(store.buckets, "key").withColumn("live", F.lit(1)))
         fresh = changed_rows(
-            placed.withColumn("_at", F.struct(F.col("_seq"), F.col("_unit"))), norm_id(F.col("id")), ("_at", "row_id"), posting_state()
-        ).withColumn("unit", F.col("_at._unit"))
-        return fresh.join(pending.select("unit"), "unit", "left_semi").select("row_id")
+            both.withColumn("at", F.struct("seq", "commit")), F.col("key"), ("at", "row_id"), F.col("state"), ("old", "file")
+        ).where("not old").select("row_id", F.col("at.commit").alias("commit"), F.col("file").alias("unit"))
+        finished = resolve_shas(done, history).select(F.col("unit").alias("commit"))
+        return fresh.where("commit is not null").join(finished, "commit", "left_anti").select("row_id", "unit")
+
+    listing = list_files(spark, path, content=content, glob="*.parquet")
+    return run_incremental(spark, listing, process, out, manifest)
+
 
-    return run_incremental(spark, commit_listing(placed), process, out, manifest, also_done=also)
+def taken(spark: SparkSession, home: str) -> DataFrame:
+    """``row_id`` of the rows that the finished runs below ``home`` took, each once."""
+    return read_batches(spark, f"{home}/out", f"{home}/manifest", "row_id long, unit string").select("row_id")

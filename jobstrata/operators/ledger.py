@@ -25,7 +25,7 @@ def upsert(stored: DataFrame, rows: DataFrame, key: str = "id", keep: tuple[str,
     """``rows`` replace stored rows of their key; columns in ``keep`` that they lack stay as stored."""
     kept = [c for c in keep if c not in rows.columns]
     if kept:
-        old = stored.select(F.col(key).alias("_k"), *kept)
+        old = stored.groupBy(F.col(key).alias("_k")).agg(*[F.max(c).alias(c) for c in kept])
         rows = rows.join(old, rows[key] == old["_k"], "left").drop("_k")
     return stored.join(rows.select(key).distinct(), key, "left_anti").unionByName(rows, allowMissingColumns=True).select(*stored.columns)
 
@@ -40,9 +40,12 @@ def restore_text(rows: DataFrame, texts: DataFrame, key: str = "id", text: str =
     )
 
 
-def keep_known(rows: DataFrame, stored: DataFrame, columns: dict[str, str], key: str = "id") -> DataFrame:
-    """Columns of ``rows`` taken from the stored row of the key, else the default given."""
-    old = stored.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_{c}") for c in columns])
+def keep_known(rows: DataFrame, stored: DataFrame, columns: dict[str, str | None], key: str = "id") -> DataFrame:
+    """Columns of ``rows`` taken from the stored row of the key, else the default given.
+
+    Of several stored rows of a key the greatest values stand; rows are never multiplied.
+    """
+    old = stored.groupBy(F.col(key).alias("_k")).agg(*[F.max(c).alias(f"_{c}") for c in columns])
     joined = rows.join(old, rows[key] == old["_k"], "left")
     for c, default in columns.items():
         joined = joined.withColumn(c, F.coalesce(f"_{c}", F.lit(default)))
@@ -50,8 +53,11 @@ def keep_known(rows: DataFrame, stored: DataFrame, columns: dict[str, str], key:
 
 
 def apply_edits(rows: DataFrame, edits: DataFrame, column: str, key: str = "id") -> DataFrame:
-    """Set ``column`` where an edit of the key is present; an edit may set it blank or null."""
-    e = edits.select(F.col(key).alias("_k"), F.col(column).alias("_new"), F.lit(True).alias("_has"))
+    """Set ``column`` where an edit of the key is present; an edit may set it blank or null.
+
+    Of several edits of a key the greatest value stands; rows are never multiplied.
+    """
+    e = edits.groupBy(F.col(key).alias("_k")).agg(F.max(column).alias("_new"), F.lit(True).alias("_has"))
     value = F.when(F.col("_has"), F.col("_new")).otherwise(F.col(column))
     return rows.join(e, rows[key].cast("string") == e["_k"].cast("string"), "left").withColumn(column, value).select(*rows.columns)
 

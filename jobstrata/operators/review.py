@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import re
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobstrata.functions.text import filled
@@ -33,7 +31,8 @@ def search(text: str, columns: tuple[str, ...] = ("company_name", "title")) -> C
     """Case-insensitive regular expression in any column; blank text finds all, null matches nothing."""
     if not text.strip():
         return F.lit(True)
-    re.compile(text)  # refuse a broken pattern before any task starts
+    # The tasks' own pattern language refuses a broken pattern before any task starts.
+    SparkSession.active()._jvm.java.util.regex.Pattern.compile(f"(?i){text}")
     hit = F.lit(False)
     for c in columns:
         hit = hit | F.coalesce(F.col(c).rlike(f"(?i){text}"), F.lit(False))
@@ -64,3 +63,23 @@ def failed_tail(details: DataFrame, n: int, *order: str) -> DataFrame:
     """The last ``n`` failures, in order."""
     back = [F.desc(c) for c in order]
     return details.where(F.col("archive_status") == "failed").orderBy(*back).limit(n).orderBy(*order)
+
+
+#: Columns of a list of failures, and of the list of exclusions as it is handed out.
+FAILURE = ("id", "company_name", "title", "job_url", "archive_status", "first_seen_date")
+
+
+def failures(details: DataFrame, *states: str, column: str = "archive_status") -> DataFrame:
+    """Records in one of the states, reduced to what a list of failures shows."""
+    found = details if column in details.columns else details.withColumn(column, F.lit(""))
+    return found.where(F.col(column).isin(*states)).select(*[c for c in FAILURE if c in details.columns])
+
+
+def download(flagged_details: DataFrame) -> DataFrame:
+    """The records as they are handed out: without the flag that review added."""
+    return flagged_details.drop("excluded")
+
+
+def exclusions_download(exclusions: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """The exclusions as they are handed out, missing columns blank."""
+    return exclusions.select(*[(F.coalesce(c, F.lit("")) if c in exclusions.columns else F.lit("")).alias(c) for c in columns])

@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 from jobstrata.functions.text import filled
 from jobstrata.operators.components import components
+from jobstrata.session import materialize, release
 
 #: Rows that share one prefix maximum.
 CHUNK = 1 << 16
+#: Rounds of joins before what is left of greedy matching is walked.
+ROUNDS = 12
 #: Work taken per run, and attempts until an item is dropped.
 PER_RUN, ATTEMPTS = 5, 3
 
@@ -46,25 +49,29 @@ def fold_mark(rows: DataFrame, order: str, date: str, key: str, floor: str = "")
     """Rows that the sequential rule admits, for dates in any order.
 
     A row is admitted if its key isn't yet and its date isn't below the mark,
-    which then rises to it.  The rule is serial by nature: rows below the floor
-    are dropped first, and the rest is streamed once in order, holding the
-    admitted keys only.
+    which then rises to it.  ``order`` is a unique long.
+
+    No serial pass is needed.  A row that is the first of its key among those
+    still possible lifts the mark to its date at least, admitted or not; so
+    what lies below the running maximum of such rows is impossible and drops
+    out.  Once nothing more drops out, the admitted rows are just those first
+    ones.  Dates that don't fall need one round; each round is a pre-aggregated
+    grouping and the block maxima of :func:`running_mark`.
     """
     able = rows.where(F.coalesce(F.col(date), F.lit("")) >= floor).where(filled(F.col(key).cast("string")))
-
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        mark, taken = floor, set()
-        for b in batches:
-            keep = []
-            for k, d in zip(b[key], b[date]):
-                ok = k not in taken and d >= mark
-                if ok:
-                    taken.add(k)
-                    mark = d
-                keep.append(ok)
-            yield b[keep]
-
-    return able.repartition(1).sortWithinPartitions(order).mapInPandas(walk, able.schema)
+    left = materialize(able.select(F.col(order).alias("_o"), F.coalesce(date, F.lit("")).alias("_d"), F.col(key).alias("_k")), "marks")
+    n = left.count()
+    while n:
+        firsts = left.groupBy("_k").agg(F.min("_o").alias("_o")).select("_o", F.lit(True).alias("_first"))
+        placed = left.join(firsts, "_o", "left").withColumn("_lifts", F.when(F.col("_first"), F.col("_d")))
+        marked = running_mark(placed, "_o", "_lifts", floor).where(F.col("_d") >= F.col("mark"))
+        before, left = left, materialize(marked.select("_o", "_d", "_k"), "marks")
+        release(before)
+        last, n = n, left.count()
+        if n == last:
+            break
+    admitted = left.groupBy("_k").agg(F.min("_o").alias("_o")).select("_o")
+    return able.join(admitted, able[order] == admitted["_o"], "left_semi")
 
 
 def greedy_urls(rows: DataFrame, order: str, keys: str) -> DataFrame:
@@ -72,37 +79,83 @@ def greedy_urls(rows: DataFrame, order: str, keys: str) -> DataFrame:
 
     ``order`` is a unique long, ``keys`` holds the rows' match keys (array of
     text).  Greedy because matching isn't transitive; rows without keys are
-    kept.  What is kept depends only on rows tied by keys, so each such
-    component is walked for itself, as a stream in order.
+    kept.  In rounds of joins: a row that is the first undecided one of each of
+    its keys is kept, and the undecided rows that share a key with it drop out.
+    Of a hot key all rows but one drop out in one round.  What more than
+    ROUNDS rounds would take (long chains that alternate between keys) is
+    walked in order, a component of tied rows at a time.
     """
-    tied = rows.select(F.col(order).alias("_o"), F.explode(keys).alias("_key"))
+    left = materialize(rows.select(F.col(order).alias("_o"), F.explode(F.array_distinct(keys)).alias("_key")), "undecided")
+    kept: list[DataFrame] = []
+    for _ in range(ROUNDS):
+        if left.isEmpty():
+            break
+        lead = left.groupBy("_key").agg(F.min("_o").alias("_lead"))
+        led = materialize(left.join(lead, "_key"), "led")
+        first = led.groupBy("_o").agg(F.every(F.col("_o") == F.col("_lead")).alias("_all")).where("_all").select("_o")
+        kept.append(materialize(first, "kept"))
+        # Every key of a kept row has it as its lead.
+        gone = led.join(kept[-1].withColumnRenamed("_o", "_lead"), "_lead", "left_semi").select("_o").distinct()
+        before, left = left, materialize(left.join(gone, "_o", "left_anti"), "undecided")
+        release(before, led)
+    if not left.isEmpty():
+        kept.append(_walked(left))
+    taken = rows.where(F.size(F.coalesce(keys, F.array().cast("array<string>"))) == 0)
+    for part in kept:
+        taken = taken.unionByName(rows.join(part, rows[order] == part["_o"], "left_semi"))
+    return taken
+
+
+def _walked(tied: DataFrame) -> DataFrame:
+    """``_o`` of the rows kept among ``_o, _key``, each component streamed in order by one task."""
     hubs = tied.groupBy("_key").agg(F.min("_o").alias("_hub"))
     roots = components(tied.join(hubs, "_key"), "_o", "_hub").select(F.col("node").alias("_node"), F.col("root").alias("_root"))
-    placed = rows.join(roots, rows[order] == roots["_node"], "left").withColumn("_root", F.coalesce("_root", order)).drop("_node")
-    schema = rows.schema
+    placed = tied.join(roots, tied["_o"] == roots["_node"], "left").select("_o", "_key", F.coalesce("_root", "_o").alias("_root"))
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        root, taken = None, set()
+        root, row, own, taken = None, None, [], set()
         for b in batches:
-            keep = []
-            for r, own in zip(b["_root"], b[keys]):
+            kept = []
+            for r, o, k in zip(b["_root"], b["_o"], b["_key"]):
+                if o != row:
+                    if row is not None and not taken.intersection(own):
+                        taken.update(own)
+                        kept.append(row)
+                    row, own = o, []
                 if r != root:
                     root, taken = r, set()
-                ok = own is None or not any(k in taken for k in own)
-                if ok and own is not None:
-                    taken.update(own)
-                keep.append(ok)
-            yield b[keep].drop(columns="_root")
+                own.append(k)
+            yield pd.DataFrame({"_o": pd.Series(kept, dtype="int64")})
+        if row is not None and not taken.intersection(own):
+            yield pd.DataFrame({"_o": pd.Series([row], dtype="int64")})
+
+    return placed.repartition("_root").sortWithinPartitions("_root", "_o").mapInPandas(walk, "_o long")
+
+
+def positions(rows: DataFrame, name: str) -> DataFrame:
+    """Add the place of each row in the order ``rows`` has now, from 0 and without gaps, as ``name``.
+
+    Rows are counted per partition, so no task sees all of them.
+    """
+    at = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    laid = materialize(rows.withColumn("_part", F.spark_partition_id()).withColumn("_at", at), "ranked")
+    # One row a partition.
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = laid.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return laid.join(starts, "_part").withColumn(name, F.col("_start") + F.col("_at")).drop("_part", "_at", "_start")
+
 
-    return placed.repartition("_root").sortWithinPartitions("_root", order).mapInPandas(walk, schema)
+def ranked(rows: DataFrame, name: str, *order: str | Column) -> DataFrame:
+    """Add the position of each row in ``order`` as ``name``; rows are spread by ranges of the order."""
+    return positions(rows.orderBy(*order), name)
 
 
 def enqueue(queue: DataFrame, rows: DataFrame, order: tuple[str, ...] = ("seq", "pos")) -> DataFrame:
     """New items after the queue's last position, in their own order."""
-    last = queue.agg(F.coalesce(F.max("pos"), F.lit(-1)).alias("_last"))
-    fresh = rows.withColumn("_n", F.row_number().over(Window.orderBy(*order))).join(F.broadcast(last), F.expr("true"))
+    last = queue.agg(F.coalesce(F.max("pos"), F.lit(-1)).alias("_last"))  # one row
+    fresh = ranked(rows, "_n", *order).crossJoin(F.broadcast(last))
     return queue.unionByName(
-        fresh.withColumn("pos", F.col("_last") + F.col("_n")).select(*[c for c in queue.columns if c in fresh.columns or c == "pos"]),
+        fresh.withColumn("pos", F.col("_last") + F.col("_n") + 1).select(*[c for c in queue.columns if c in fresh.columns or c == "pos"]),
         allowMissingColumns=True,
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobstrata.operators.incremental import next_run, read_batches
+from jobstrata.operators.incremental import next_run, taken
 from jobstrata.session import scratch_path
 from jobstrata.sources.tables import table
 
@@ -12,12 +12,8 @@ from jobstrata.sources.tables import table
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     """``row_id`` of each row the next run takes.  An empty table gives no row."""
     home = scratch_path(spark, "next-run")
-    out, manifest = f"{home}/out", f"{home}/manifest"
-    rows = table(spark, folder, "nyc_jobs").select(
-        "row_id", "id", "company_name", "title", "terms", "date_posted", "url", "first_seen_date", "first_seen_commit"
-    )
-    next_run(rows, table(spark, folder, "manifest"), table(spark, folder, "done_commits"), out, manifest)
-    return read_batches(spark, out, manifest, "row_id long")
+    next_run(spark, f"{folder.rstrip('/')}/nyc_jobs.parquet", table(spark, folder, "manifest"), table(spark, folder, "done_commits"), home)
+    return taken(spark, home)
 
 
 _BLANK = r"[\s\x{00a0}\x{1680}\x{180e}\x{2000}-\x{200d}\x{2028}\x{2029}\x{202f}\x{205f}\x{2060}\x{3000}\x{feff}]"

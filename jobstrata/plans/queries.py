@@ -12,14 +12,17 @@ from pyspark.sql import functions as F
 
 from jobstrata.functions.html import visible_text
 from jobstrata.functions.text import filled, norm_sha, sql_literal, strip
-from jobstrata.functions.urls import JOB_KEY_RULES, url_job_key, url_match_keys
+from jobstrata.functions.urls import url_job_key, url_match_keys
 from jobstrata.operators import ledger, predicates, review, workqueue
 from jobstrata.operators.firstseen import counts_per_snapshot, first_sighting, unseen
 from jobstrata.operators.urlmatch import known_urls
 from jobstrata.plans.build import pending_commits
-from jobstrata.sources.files import excluded_ids, last_wins
-from jobstrata.sources.sinks import insert_statements, job_export, newest_first, seasons, text_rows
-from jobstrata.sources.snapshots import recent, stride
+from jobstrata.plans.update import backfill
+from jobstrata.schemas import JOBS_FULL
+from jobstrata.session import scratch_path
+from jobstrata.sources.files import excluded_ids, last_wins, read_csv, read_jsonl
+from jobstrata.sources.sinks import insert_statements, job_export, newest_first, seasons, sql_dump, text_rows, write_csv, write_jsonl
+from jobstrata.sources.snapshots import chunks, explode_postings, parse_payload, recent, stride
 from jobstrata.sources.tables import job_rows, table
 
 QUERIES: dict = {}
@@ -143,12 +146,41 @@ def excluded_flag(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _key_sql(url: str) -> str:
-    rules = ", ".join(f"nullif(regexp_extract({url}, '(?i){r}', 1), '')" for r in JOB_KEY_RULES)
+    """The job key in SQL, its patterns written for DuckDB."""
+    h = "[0-9a-f]"
+    found = [
+        f"regexp_extract({url}, '{h}{{8}}-{h}{{4}}-{h}{{4}}-{h}{{4}}-{h}{{12}}', 0, 'i')",
+        f"regexp_extract({url}, '/job(s|)/([0-9]{{7,}})', 2, 'i')",
+        f"regexp_extract({url}, '/([0-9]{{15,}})', 1)",
+        f"regexp_extract({url}, '/jobs/([0-9]{{4,}})/job', 1, 'i')",
+        f"regexp_extract({url}, '/([0-9]{{8,}})$', 1)",
+        f"regexp_extract({url}, '/(JR[0-9]+)', 1, 'i')",
+        f"regexp_extract({url}, '/(R-[0-9]+)', 1, 'i')",
+        f"regexp_extract({url}, '/(REQ(-|_)[0-9A-Za-z_]+)', 1, 'i')",
+        f"regexp_extract({url}, 'search/([0-9]{{10,}})', 1, 'i')",
+    ]
+    rules = ", ".join(f"nullif({x}, '')" for x in found)
     path = f"regexp_replace(regexp_replace(regexp_replace(regexp_replace({url}, '^[A-Za-z][A-Za-z0-9+.-]*:', ''), '^//[^/?#]*', ''), '[?#].*$', ''), ';[^/]*$', '')"
     bare = f"rtrim({path}, '/')"
     return f"CASE WHEN {url} IS NULL OR {url} = '' THEN NULL ELSE coalesce({rules}, CASE WHEN {bare} = '' THEN {url} ELSE string_split({bare}, '/')[-1] END) END"
 
 
+# One address for each rule, beside those of the tables.
+_RULE_URLS = (
+    "https://x.example/a/0A1b2c3d-1111-2222-3333-444455556666/apply", "https://x.example/job/1234567-abc", "https://x.example/p/123456789012345/q",
+    "https://x.example/jobs/1234/job", "https://x.example/JOBS/7654321/x", "https://x.example/p/12345678", "https://x.example/en/jr123/x",
+    "https://x.example/R-123", "https://x.example/en/r-4567?x=1", "https://x.example/REQ-ab", "https://x.example/req_77c/d",
+    "https://x.example/search/1234567890x", "https://x.example/a/apply/", "https://x.example/a/b;p=1?q=2#f", "https://x.example", "mailto:me", "",
+)
+_RULED = ", ".join(f"({n}, '{u}')" for n, u in enumerate(_RULE_URLS))
+
+
+@_query(f"SELECT n, {_key_sql('url')} AS job_key FROM (VALUES {_RULED}) v(n, url)")
+def url_rule_keys(spark: SparkSession, folder: str) -> DataFrame:
+    rows = spark.createDataFrame(list(enumerate(_RULE_URLS)), "n int, url string")
+    return rows.select("n", url_job_key(F.col("url")).alias("job_key"))
+
+
 @_query(f"SELECT row_id, {_key_sql('url')} AS job_key FROM {_BOTH}")
 def url_job_keys(spark: SparkSession, folder: str) -> DataFrame:
     return job_rows(spark, folder, "row_id", "url").select("row_id", url_job_key(F.col("url")).alias("job_key"))
@@ -162,12 +194,35 @@ def url_known(spark: SparkSession, folder: str) -> DataFrame:
     return known_urls(job_rows(spark, folder, "row_id", "url"), table(spark, folder, "job_details"), "url", "job_url").select("row_id")
 
 
-@_query()
+_SPACE = r"[\s\x1c-\x1f\x{0085}\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+
+@_query(rf"""
+SELECT detail_id, coalesce(array_to_string(list_filter(list_transform(string_split(raw_text, chr(10)), lambda x: regexp_replace(x, '^{_SPACE}+|{_SPACE}+$', '', 'g')),
+  lambda x: x <> ''), chr(10)), '') AS shown FROM job_details""")
 def visible_texts(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id", visible_text("text").alias("shown"))
+    """Each text is written as a page, a paragraph a line, between hidden elements; what is shown is the text."""
+    escaped = F.replace(F.replace(F.col("raw_text"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    page = F.concat(
+        F.lit("<html><head><title>hidden</title></head><NAV>menu<p>more</nav><p>"), F.replace(escaped, F.lit("\n"), F.lit("</p><p>")),
+        F.lit("</p><!-- note --><script>if (a < 1) { b(); }</script><footer>end<iframe/></footer></html>"),
+    )
+    return table(spark, folder, "job_details").select("detail_id", page.alias("page")).select("detail_id", visible_text("page").alias("shown"))
 
 
-@_query()
+@_query(f"""
+WITH RECURSIVE r AS (
+  SELECT row_number() OVER (ORDER BY row_id) AS n, row_id, list_filter(['u:' || rtrim(url, '/'), CASE WHEN length(k) >= 4 THEN 'i:' || k END], lambda x: x IS NOT NULL) AS keys
+  FROM (SELECT row_id, url, {_key_sql('url')} AS k FROM {_BOTH} WHERE url <> '')
+), w(k, n) USING KEY (k) AS (
+  SELECT '', CAST(0 AS BIGINT)
+  UNION
+  SELECT * FROM (
+    SELECT '' AS k, w.n + 1 AS n FROM w WHERE w.k = '' AND w.n < (SELECT count(*) FROM r)
+    UNION ALL
+    SELECT unnest(r.keys), r.n FROM w JOIN r ON w.k = '' AND r.n = w.n + 1 WHERE NOT EXISTS (SELECT 1 FROM recurring.w t WHERE t.k = r.keys[1] OR t.k = r.keys[2]))
+)
+SELECT row_id FROM r JOIN w ON w.k = r.keys[1] AND w.n = r.n UNION ALL SELECT row_id FROM {_BOTH} WHERE coalesce(url, '') = ''""")
 def greedy_new_urls(spark: SparkSession, folder: str) -> DataFrame:
     rows = job_rows(spark, folder, "row_id", "url").withColumn("keys", url_match_keys(F.col("url")))
     return workqueue.greedy_urls(rows.select("row_id", "keys"), "row_id", "keys").select("row_id")
@@ -192,7 +247,16 @@ def running_mark(spark: SparkSession, folder: str) -> DataFrame:
     return workqueue.running_mark(rows, "event_id", "d").select("event_id", "mark")
 
 
-@_query()
+@_query(f"""
+WITH RECURSIVE e AS (SELECT event_id, lpad({_MARK}, 6, '0') AS d, CAST(user_id AS VARCHAR) AS u FROM events),
+w(event_id, d, taken) AS (
+  SELECT CAST(-1 AS BIGINT), '', CAST([] AS VARCHAR[])
+  UNION ALL
+  SELECT x.event_id, x.d, list_append(x.taken, x.u) FROM (
+    SELECT e.event_id, e.d, e.u, w.taken, row_number() OVER (ORDER BY e.event_id) AS n
+    FROM w JOIN e ON e.event_id > w.event_id AND e.d >= w.d WHERE NOT list_contains(w.taken, e.u)) x WHERE x.n = 1
+)
+SELECT event_id FROM w WHERE event_id >= 0""")
 def fold_mark(spark: SparkSession, folder: str) -> DataFrame:
     date = F.lpad((F.col("event_id") * 7919 % 100000).cast("string"), 6, "0")
     rows = table(spark, folder, "events").select("event_id", date.alias("d"), F.col("user_id").cast("string").alias("u"))
@@ -301,15 +365,16 @@ def per_snapshot_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query("""
 SELECT company_name, title, CASE WHEN json_valid(terms) AND terms LIKE '[%]' THEN array_to_string(CAST(terms AS VARCHAR[]), ' | ') ELSE terms END AS recruiting_season,
-  date_posted, first_seen_date, url, id FROM remote_jobs""")
+  date_posted, first_seen_date, url, id, row_number() OVER (ORDER BY first_seen_date NULLS FIRST, company_name NULLS FIRST, title NULLS FIRST, id NULLS FIRST, row_id) - 1 AS n FROM remote_jobs""")
 def export_order(spark: SparkSession, folder: str) -> DataFrame:
-    return job_export(table(spark, folder, "remote_jobs"))
+    """Rows alike in the whole order come in order of arrival, so that their place is defined."""
+    return workqueue.positions(job_export(table(spark, folder, "remote_jobs"), "row_id"), "n")
 
 
-@_query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders ORDER BY day DESC, o_orderkey")
+@_query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day, row_number() OVER (ORDER BY strftime(o_orderdate, '%Y-%m-%d') DESC, o_orderkey) - 1 AS n FROM orders")
 def stable_desc(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
-    return newest_first(rows, "day", "o_orderkey")
+    return workqueue.positions(newest_first(rows, "day", "o_orderkey"), "n")
 
 
 @_query("""
@@ -352,3 +417,135 @@ def done_names(spark: SparkSession, folder: str) -> DataFrame:
 @_query(r"SELECT doc_id, regexp_replace(company_name, '^\s+|\s+$', '', 'g') AS company_name FROM documents")
 def stripped_names(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").select("doc_id", strip(F.col("company_name")).alias("company_name"))
+
+
+@_query("SELECT row_id, CAST(0 AS BIGINT) AS pos, id, title, url FROM remote_jobs WHERE row_id % 7 <> 0")
+def payload_postings(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows written as one-element payloads, every seventh cut short and so refused."""
+    text = F.concat(F.lit(" ["), F.to_json(F.struct("id", "title", "url")), F.when(F.col("row_id") % 7 == 0, "").otherwise("]\n"))
+    parsed = parse_payload(table(spark, folder, "remote_jobs").select("row_id", text.alias("payload")))
+    return explode_postings(parsed).select("row_id", F.col("pos").cast("long").alias("pos"), "id", "title", "url")
+
+
+def _postings(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "nyc_jobs").where(F.col("terms").rlike(r"(?s)^\[.*\]$")).select(
+        F.col("row_id").alias("seq"), F.lit(0).alias("pos"), "id", "company_name", "title", F.array("source").alias("locations"),
+        F.from_json("terms", F.lit("array<string>")).alias("terms"), "date_posted", "url", "source",
+        F.col("first_seen_date").alias("commit_date"), F.col("first_seen_commit").alias("sha"),
+    )
+
+
+_LISTED = "nyc_jobs WHERE json_valid(terms) AND terms LIKE '[%]'"
+
+
+@_query(f"""
+SELECT row_id AS seq, id, coalesce(company_name, '') AS company_name, coalesce(title, '') AS title, CAST(to_json(CAST(terms AS VARCHAR[])) AS VARCHAR) AS terms,
+  coalesce(date_posted, '') AS date_posted, first_seen_date, coalesce(url, '') AS url, coalesce(source, '') AS source, first_seen_commit FROM {_LISTED}""")
+def full_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return predicates.full_row(_postings(spark, folder)).drop("pos", "locations")
+
+
+@_query(rf"""
+SELECT row_id AS seq, id, regexp_replace(coalesce(company_name, ''), '^{_SPACE}+|{_SPACE}+$', '', 'g') AS company_name,
+  regexp_replace(coalesce(title, ''), '^{_SPACE}+|{_SPACE}+$', '', 'g') AS title, array_to_string(CAST(terms AS VARCHAR[]), ' | ') AS recruiting_season,
+  coalesce(date_posted, '') AS date_posted, first_seen_date, coalesce(url, '') AS url, 'listing' AS source FROM {_LISTED}""")
+def update_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return predicates.update_row(_postings(spark, folder), "listing").drop("pos", "locations")
+
+
+@_query("""
+SELECT row_id, contains(lower(source), 'new york') OR contains(lower(source), 'nyc') OR contains(lower(title), 'new york') OR contains(lower(title), 'nyc') AS nyc,
+  contains(lower(source), 'remote') AND contains(lower(title), 'remote') AS remote
+FROM (SELECT row_id, coalesce(source, '') AS source, coalesce(title, '') AS title FROM nyc_jobs)""")
+def location_classes(spark: SparkSession, folder: str) -> DataFrame:
+    places = F.array("source", "title")
+    return table(spark, folder, "nyc_jobs").select("row_id", predicates.is_nyc(places).alias("nyc"), predicates.is_remote(places).alias("remote"))
+
+
+@_query("""
+SELECT CASE WHEN p_partkey % 2 = 0 THEN p_partkey ELSE p_partkey + 1000000 END AS id, upper(p_name) AS p_name, CASE WHEN p_partkey % 2 = 0 THEN p_brand END AS p_brand
+FROM part WHERE p_partkey % 3 = 0
+UNION ALL SELECT p_partkey, p_name, p_brand FROM part WHERE p_partkey % 6 <> 0""")
+def upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """Every third part comes anew, half of them under a new key; the brand isn't delivered and stays."""
+    part = table(spark, folder, "part").select(F.col("p_partkey").alias("id"), "p_name", "p_brand")
+    rows = part.where("id % 3 = 0").select(F.when(F.col("id") % 2 == 0, F.col("id")).otherwise(F.col("id") + 1000000).alias("id"), F.upper("p_name").alias("p_name"))
+    return ledger.upsert(part, rows, keep=("p_brand",))
+
+
+@_query("""
+SELECT d.detail_id, coalesce(k.category, 'none') AS category FROM job_details d
+LEFT JOIN (SELECT id, max(category) AS category FROM job_details WHERE archive_status = 'success' GROUP BY id) k ON k.id = d.id""")
+def keep_known(spark: SparkSession, folder: str) -> DataFrame:
+    details = table(spark, folder, "job_details")
+    return ledger.keep_known(details.select("detail_id", "id"), details.where("archive_status = 'success'"), {"category": "none"}).select("detail_id", "category")
+
+
+@_query("""
+SELECT s_name AS id, s_suppkey AS pos FROM supplier
+UNION ALL SELECT c_name, (SELECT max(s_suppkey) FROM supplier) + row_number() OVER (ORDER BY c_acctbal, c_custkey) FROM customer""")
+def enqueue(spark: SparkSession, folder: str) -> DataFrame:
+    queue = table(spark, folder, "supplier").select(F.col("s_name").alias("id"), F.col("s_suppkey").alias("pos"))
+    rows = table(spark, folder, "customer").select(F.col("c_name").alias("id"), "c_acctbal", "c_custkey")
+    return workqueue.enqueue(queue, rows, ("c_acctbal", "c_custkey"))
+
+
+@_query("SELECT seq, CAST(floor((row_number() OVER (ORDER BY seq) - 1) / 40) AS BIGINT) AS chunk FROM manifest")
+def commit_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    return chunks(table(spark, folder, "manifest").select("seq"), 40)
+
+
+@_query("SELECT id, company_name, title, job_url, archive_status, first_seen_date FROM job_details WHERE archive_status = 'failed' OR archive_status = 'pending'")
+def failure_list(spark: SparkSession, folder: str) -> DataFrame:
+    return review.failures(table(spark, folder, "job_details"), "failed", "pending")
+
+
+@_query("SELECT detail_id, id, category FROM job_details")
+def details_download(spark: SparkSession, folder: str) -> DataFrame:
+    return review.download(_flagged(spark, folder).select("detail_id", "id", "category", "excluded"))
+
+
+_NINE = ("id", "company_name", "reason", "blocked_title", "blocked_company", "blocked_date", "job_url", "archive_url", "note")
+
+
+@_query("SELECT " + ", ".join(f"coalesce({c}, '') AS {c}" for c in _NINE[:-1]) + ", '' AS note FROM excluded_jobs")
+def exclusions_download(spark: SparkSession, folder: str) -> DataFrame:
+    return review.exclusions_download(table(spark, folder, "excluded_jobs"), _NINE)
+
+
+@_query("SELECT doc_id, coalesce(text, '') AS text, coalesce(title, '') AS title FROM documents")
+def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "text", "title")
+    path = write_csv(rows, scratch_path(spark, "csv"))
+    return read_csv(spark, path, ("doc_id", "text", "title")).withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
+@_query("SELECT doc_id, text FROM documents")
+def jsonl_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+    path = write_jsonl(rows, scratch_path(spark, "jsonl"))
+    return read_jsonl(spark, path, ("doc_id", "text")).withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
+_QUOTED = ", ".join(f"coalesce('''' || replace({c}, '''', '''''') || '''', 'NULL')" for c in JOBS_FULL)
+
+
+@_query(f"""
+SELECT 0 AS part, '-- postings' AS line UNION ALL SELECT 1, '-- Generated: 2025-01-01' UNION ALL SELECT 2, 'BEGIN TRANSACTION;'
+UNION ALL SELECT 3, 'CREATE TABLE remote_jobs (id TEXT PRIMARY KEY, {', '.join(f'{c} TEXT' for c in JOBS_FULL[1:])});'
+UNION ALL SELECT 4, 'INSERT INTO remote_jobs VALUES (' || concat_ws(', ', {_QUOTED}) || ');' FROM remote_jobs
+UNION ALL SELECT 5, '-- ' || format('{{:,}}', count(*)) || ' rows in remote_jobs' FROM remote_jobs UNION ALL SELECT 6, 'COMMIT;'""")
+def sql_dump_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return sql_dump({"remote_jobs": table(spark, folder, "remote_jobs")}, JOBS_FULL, "postings", "2025-01-01").select("part", "line")
+
+
+@_query(r"""
+WITH have AS (SELECT id FROM job_details WHERE archive_url <> '' AND regexp_matches(raw_text, '\S')),
+missing AS (SELECT DISTINCT id FROM job_details WHERE archive_url <> '' AND id IS NOT NULL AND id NOT IN (SELECT id FROM have WHERE id IS NOT NULL)),
+batch AS (SELECT id FROM missing ORDER BY id LIMIT 10),
+got AS (SELECT id FROM batch WHERE id IN (SELECT job_id FROM documents WHERE regexp_matches(text, '\S')))
+SELECT (SELECT count(*) FROM got) AS filled, (SELECT count(*) FROM missing) - (SELECT count(*) FROM got) AS remaining""")
+def backfill_counts(spark: SparkSession, folder: str) -> DataFrame:
+    details = table(spark, folder, "job_details").where("id is not null")
+    fetched = table(spark, folder, "documents").groupBy(F.col("job_id").alias("id")).agg(F.max("text").alias("raw_text"))
+    return backfill(details.select("id", "archive_url"), text_rows(details), fetched)["counts"]

@@ -32,8 +32,9 @@ def build_session(app: str = "jobstrata", master: str | None = None, **conf: str
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, from ``spark.checkpoint.dir``.
 
-    Only where the session leaves it unset (tests, one machine) is a folder of
-    this machine taken, and then also set as the checkpoint folder.
+    Only where the session leaves it unset and runs on this machine alone
+    (``local`` masters, as in tests) is a folder of this machine taken, and then
+    also set as the checkpoint folder.  On a cluster the setting is required.
     """
     said = spark.sparkContext.getConf().get(_SETTING)
     if said:
@@ -41,6 +42,8 @@ def shared_dir(spark: SparkSession) -> str:
     own = spark.sparkContext._jsc.sc().getCheckpointDir()
     if own.isDefined():
         return str(own.get()).rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"{_SETTING} must name a folder that all executors share")
     folder = "file://" + tempfile.mkdtemp(prefix="jobstrata-")
     spark.sparkContext.setCheckpointDir(folder)
     return str(spark.sparkContext._jsc.sc().getCheckpointDir().get()).rstrip("/")

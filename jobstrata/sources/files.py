@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobstrata.functions.text import filled, strip
+from jobstrata.operators.workqueue import ranked
 from jobstrata.schemas import strings
 from jobstrata.session import path_exists
 
@@ -59,5 +60,5 @@ def queue_rows(rows: DataFrame, pos: str = "pos") -> DataFrame:
 
 
 def reindexed(rows: DataFrame, pos: str = "pos", start: int = 0) -> DataFrame:
-    """Positions without gaps, for a bounded queue."""
-    return rows.withColumn(pos, F.row_number().over(Window.orderBy(pos)) - 1 + start)
+    """Positions without gaps, in the order of the stored ones."""
+    return ranked(rows.withColumnRenamed(pos, "_was"), pos, "_was").drop("_was").withColumn(pos, F.col(pos) + start)

@@ -21,11 +21,11 @@ def seasons(terms: Column) -> Column:
     return F.when(F.coalesce(listed, F.lit(False)), F.array_join(parsed, " | ")).otherwise(terms)
 
 
-def job_export(jobs: DataFrame) -> DataFrame:
-    """The seven-column export, by first sighting, company, title (and id, which settles ties)."""
-    return jobs.select(
+def job_export(jobs: DataFrame, *ties: str) -> DataFrame:
+    """The seven-column export, by first sighting, company, title (and id and ``ties``, which settle the rest)."""
+    return jobs.orderBy("first_seen_date", "company_name", "title", "id", *ties).select(
         "company_name", "title", seasons(F.col("terms")).alias("recruiting_season"), "date_posted", "first_seen_date", "url", "id"
-    ).orderBy("first_seen_date", "company_name", "title", "id")
+    )
 
 
 def newest_first(rows: DataFrame, by: str, pos: str) -> DataFrame:
@@ -44,21 +44,33 @@ def insert_statements(rows: DataFrame, name: str, columns: tuple[str, ...]) -> D
     return rows.select(F.concat(F.lit(f"INSERT INTO {name} VALUES ("), values, F.lit(");")).alias("line"))
 
 
+def table_ddl(name: str, columns: tuple[str, ...]) -> str:
+    """The statement that creates a stored table: all text, ``id`` its key."""
+    return f"CREATE TABLE {name} ({', '.join(f'{c} TEXT PRIMARY KEY' if c == 'id' else f'{c} TEXT' for c in columns)});"
+
+
 def sql_dump(tables: dict[str, DataFrame], columns: tuple[str, ...], title: str, day: str) -> DataFrame:
-    """``part, line`` of a SQL text that rebuilds the tables; write it ordered by ``part``.
+    """``part, pos, line`` of a SQL text that rebuilds the tables; write it ordered by ``part, pos``.
 
-    Rows of a table keep no order.  ``day`` is given, not taken from the clock.
+    The rows of a table have no order of their own; ``pos`` (a hash) spreads
+    them over as many tasks as needed.  ``day`` is given, not taken from the clock.
     """
     spark = next(iter(tables.values())).sparkSession
-    out = spark.createDataFrame([(0, f"-- {title}"), (1, f"-- Generated: {day}"), (2, "BEGIN TRANSACTION;")], "part int, line string")
+    schema = "part int, pos long, line string"
+
+    def said(*lines: tuple[int, str]) -> DataFrame:
+        return spark.createDataFrame([(at, 0, line) for at, line in lines], schema)
+
+    out = said((0, f"-- {title}"), (1, f"-- Generated: {day}"), (2, "BEGIN TRANSACTION;"))
     at = 3
     for name, rows in tables.items():
-        ddl = f"CREATE TABLE {name} ({', '.join(f'{c} TEXT PRIMARY KEY' if c == 'id' else f'{c} TEXT' for c in columns)});"
-        body = insert_statements(rows, name, columns).select(F.lit(at + 1).alias("part"), "line")
-        count = rows.agg(F.concat(F.lit("-- "), F.format_number(F.count("*"), 0), F.lit(f" rows in {name}")).alias("line")).select(F.lit(at + 2).alias("part"), "line")
-        out = out.unionByName(spark.createDataFrame([(at, ddl)], "part int, line string")).unionByName(body).unionByName(count)
+        body = insert_statements(rows, name, columns).select(F.lit(at + 1).alias("part"), F.xxhash64("line").alias("pos"), "line")
+        count = rows.agg(F.concat(F.lit("-- "), F.format_number(F.count("*"), 0), F.lit(f" rows in {name}")).alias("line"))
+        out = out.unionByName(said((at, table_ddl(name, columns)))).unionByName(body).unionByName(
+            count.select(F.lit(at + 2).alias("part"), F.lit(0).cast("long").alias("pos"), "line")
+        )
         at += 3
-    return out.unionByName(spark.createDataFrame([(at, "COMMIT;")], "part int, line string"))
+    return out.unionByName(said((at, "COMMIT;")))
 
 
 def next_version(spark: SparkSession, home: str) -> str:
@@ -74,6 +86,7 @@ def latest_version(spark: SparkSession, home: str) -> str | None:
 
 
 def write_csv(rows: DataFrame, home: str) -> str:
+    """CSV in a new version below ``home``; an empty table is a file with the header only."""
     path = next_version(rows.sparkSession, home)
     rows.write.options(**_CSV).csv(path)
     return path
@@ -87,5 +100,5 @@ def write_jsonl(rows: DataFrame, home: str) -> str:
 
 def write_lines(lines: DataFrame, home: str) -> str:
     path = next_version(lines.sparkSession, home)
-    lines.orderBy("part").select("line").write.text(path)
+    lines.orderBy("part", "pos").select("line").write.text(path)
     return path

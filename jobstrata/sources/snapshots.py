@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from jobstrata.operators.workqueue import ranked
 from jobstrata.schemas import POSTING
 
 
@@ -52,6 +53,5 @@ def stride(manifest: DataFrame, step: int) -> DataFrame:
 
 
 def chunks(pending: DataFrame, size: int) -> DataFrame:
-    """Add ``chunk``: blocks of ``size`` commits in order (the manifest is one row a commit)."""
-    rank = F.row_number().over(Window.orderBy("seq")) - 1
-    return pending.withColumn("chunk", F.floor(rank / size).cast("long"))
+    """Add ``chunk``: blocks of ``size`` commits in order."""
+    return ranked(pending, "_n", "seq").withColumn("chunk", F.floor(F.col("_n") / size).cast("long")).drop("_n")

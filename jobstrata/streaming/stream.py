@@ -14,7 +14,8 @@ from pyspark.sql.streaming import StreamingQuery
 from jobstrata.operators.firstseen import unseen
 from jobstrata.plans.build import empty_jobs, sightings
 from jobstrata.schemas import JOBS_FULL, strings
-from jobstrata.session import list_names, materialize
+from jobstrata.session import list_names, materialize, path_exists
+from jobstrata.sources.buckets import BucketStore
 from jobstrata.sources.snapshots import parse_payload
 
 TABLES = ("nyc_jobs", "remote_jobs")
@@ -24,18 +25,23 @@ def stored_jobs(spark: SparkSession, home: str, table: str, before: int | None =
     """Sightings of the batches written so far (of those below ``before``)."""
     names = [n for n in list_names(spark, f"{home}/{table}") if n.startswith("batch=")]
     names = [n for n in names if before is None or int(n[6:]) < before]
-    if not names:
-        return empty_jobs(spark)
-    return spark.read.schema(strings(JOBS_FULL)).parquet(*[f"{home}/{table}/{n}" for n in names])
+    paths = [p for p in (f"{home}/{table}/{n}" for n in names) if path_exists(spark, f"{p}/_SUCCESS")]
+    return spark.read.schema(strings(JOBS_FULL)).parquet(*paths) if paths else empty_jobs(spark)
 
 
 def take_batch(snapshots: DataFrame, number: int, home: str, manifest: DataFrame) -> None:
-    """One micro-batch of ``sha, payload``, ordered inside by the manifest."""
+    """One micro-batch of ``sha, payload``, ordered inside by the manifest.
+
+    The ids sighted before lie in buckets, so only the batch's own are moved.
+    """
     spark = snapshots.sparkSession
     history = materialize(parse_payload(manifest.join(snapshots, "sha")).drop("payload"), "stream-history")
     for name, rows in sightings(history).items():
-        fresh = unseen(rows, stored_jobs(spark, home, name, number)).select(*JOBS_FULL)
-        fresh.write.mode("overwrite").parquet(f"{home}/{name}/batch={number:012d}")
+        ids = BucketStore(spark, f"{home}/{name}-ids", "key string")
+        with ids.table(number) as known:
+            unseen(rows, known.withColumnRenamed("key", "id")).select(*JOBS_FULL).write.mode("overwrite").parquet(f"{home}/{name}/batch={number:012d}")
+        taken = spark.read.schema(strings(JOBS_FULL)).parquet(f"{home}/{name}/batch={number:012d}")
+        ids.write(number, taken.select(F.col("id").alias("key"), F.lit(1).alias("live")).repartition(ids.buckets, "key"))
 
 
 def sighting_stream(spark: SparkSession, snapshots: str, manifest: DataFrame, home: str, *, files: int = 40) -> StreamingQuery:

@@ -10,6 +10,7 @@ from jobstrata.operators import incremental, ledger, predicates, review, workque
 from jobstrata.operators.components import components
 from jobstrata.operators.firstseen import first_sighting, insert_if_absent
 from jobstrata.operators.urlmatch import known_urls
+from jobstrata.sources.buckets import BucketStore
 from jobstrata.sources.files import excluded_ids, last_wins
 from jobstrata.sources.snapshots import chunks, stride
 
@@ -204,4 +205,84 @@ def test_runs_survive_a_crash_and_repeat_nothing(spark, tmp_path):
     (folder / "b.txt").write_text("changed")
     (folder / "c.txt").write_text("three")
     second = incremental.run_incremental(spark, listing(), process, out, manifest)
-    assert first != second and seen() == ["a.txt", "b.txt", "b.txt", "c.txt"]
+    assert first != second and seen() == ["a.txt", "b.txt", "c.txt"]  # the older b.txt is superseded
+
+
+def test_next_run_reads_new_files_only(spark, tmp_path):
+    folder, home = tmp_path / "jobs.parquet", f"file://{tmp_path}/home"
+    folder.mkdir()
+    history = spark.createDataFrame([(i, f"{i:040x}", f"2025-01-0{i + 1}T00:00:00Z") for i in range(5)], "seq long, sha string, commit_date string")
+    done = spark.createDataFrame([(f"{1:040x}",)], "sha string")
+    schema = "row_id long, id string, company_name string, title string, terms string, date_posted string, url string, first_seen_date string, first_seen_commit string"
+
+    def put(name, *rows):
+        full = [(n, i, "c", t, None, None, "", None, f"{s:040x}") for n, i, t, s in rows]
+        pd = spark.createDataFrame(full, schema).toPandas()
+        pd.to_parquet(folder / name)
+
+    run = lambda: incremental.next_run(spark, f"file://{folder}", history, done, home, content=True)
+    seen = lambda: sorted(r.row_id for r in incremental.taken(spark, home).collect())
+    put("a b.parquet", (1, "x", "one", 0), (2, "x", "one", 1), (3, "y", "one", 1), (4, "x", "one", 2), (5, "x", "two", 3), (6, None, "n", 3))
+    assert run() and seen() == [1, 5]  # 3 is of a done commit, 6 of no record
+    assert run() is None
+    put("b.parquet", (7, "x", "two", 4), (8, "y", "new", 4), (9, "z", "one", 4), (10, "x", "two", 9))
+    assert run() and seen() == [1, 5, 8, 9]
+    assert spark.read.parquet(f"{home}/state").where("run = 1").count() == 4  # the first file wasn't read again
+    put("b.parquet", (8, "y", "one", 4), (9, "z", "one", 4), (11, "Z ", "two", 4))
+    assert run() and seen() == [1, 5, 9, 11]  # the older rows of the file are gone
+    put("c.parquet", (12, "y", "one", 4))
+    assert run() and seen() == [1, 5, 9, 11]  # compared with row 8 as the changed file has it
+
+
+def test_bucket_store(spark, tmp_path):
+    store = BucketStore(spark, f"file://{tmp_path}/s", "key long, v string", 3)
+    for k in range(4):
+        rows = spark.createDataFrame([(i, f"{k}.{i}", int(i != 9)) for i in range(k, 10)], "key long, v string, live int")
+        store.write(k, rows)
+    store.write(1, spark.createDataFrame([(5, "again", 1)], "key long, v string, live int"))
+
+    def held(below):
+        with store.table(below) as t:
+            return sorted(map(tuple, t.collect()))
+
+    want = sorted([(i, f"{k}.{i}") for k in (0, 2, 3) for i in range(k, 9)] + [(5, "again")])
+    assert held(4) == want and held(0) == []
+    store.compact(2)
+    assert held(4) == want and len(store.parts(4)) == 2 and BucketStore(spark, f"file://{tmp_path}/s", "key long, v string").buckets == 3
+    with store.table(4) as t:
+        plan = spark.createDataFrame([(1,)], "key long").repartition(3, "key").hint("merge").join(t, "key")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1, plan  # only the other side is moved
+    with pytest.raises(ValueError):
+        store.write(1, spark.createDataFrame([], "key long, v string, live int"))
+
+
+def test_long_chains_are_matched_greedily(spark, monkeypatch):
+    monkeypatch.setattr(workqueue, "ROUNDS", 3)
+    data = [(i, [f"k{i}", f"k{i + 1}"]) for i in range(40)] + [(100 + i, ["hot", f"k{i * 3}"]) for i in range(30)] + [(200, []), (201, None)]
+    taken, want = set(), []
+    for o, keys in data:
+        if not set(keys or []) & taken:
+            taken |= set(keys or [])
+            want.append(o)
+    df = spark.createDataFrame(data, "o long, keys array<string>")
+    assert sorted(r.o for r in workqueue.greedy_urls(df, "o", "keys").collect()) == want
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_fold_in_any_order(spark, seed):
+    rng = random.Random(seed)
+    data = [(i, f"{max(0, i // 3 + rng.randrange(-6, 6)):03d}" if rng.random() < 0.9 else None, rng.choice("abcdefghijklmnopqrstuvwxyz") + str(i // 40)) for i in range(120)]
+    taken, mark, want = set(), "", []
+    for o, d, k in data:
+        if k not in taken and (d or "") >= mark:
+            taken.add(k)
+            mark = d or ""
+            want.append(o)
+    df = spark.createDataFrame(data, "o long, d string, k string")
+    assert sorted(r.o for r in workqueue.fold_mark(df, "o", "d", "k").collect()) == want
+
+
+def test_ranks_have_no_gaps(spark):
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("o")).repartition(6)
+    assert sorted((r.o, r.n) for r in workqueue.ranked(df, "n", "o").collect()) == [(i, i) for i in range(1000)]
+    assert workqueue.ranked(df.where("false"), "n", "o").count() == 0
