@@ -18,9 +18,6 @@ themselves are never read again.
 
 from __future__ import annotations
 
-import uuid
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +25,7 @@ from jobstrata.functions.text import norm_id
 from jobstrata.llm.addresses import posting_key, url_parts
 from jobstrata.operators.components import components
 from jobstrata.session import delete_path, list_names, materialize, path_exists, release, scratch_path
+from jobstrata.sources.buckets import BucketStore
 from jobstrata.sources.tables import job_rows
 
 #: Up to so many identities of a batch are sent along with the scan of the
@@ -63,46 +61,13 @@ class History:
 
     def __init__(self, spark: SparkSession, folder: str, buckets: int | None = None) -> None:
         self.spark, self.folder = spark, folder
-        laid = [n for n in list_names(spark, folder) if n.startswith("index-")]
-        self.buckets = int(laid[0][6:]) if laid else buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-    def _home(self, what: str) -> str:
-        return f"{self.folder}/index-{self.buckets}" if what == "index" else f"{self.folder}/{what}"
+        self.index = BucketStore(spark, f"{folder}/index", "key binary, first_row_id long", buckets)
 
     def _parts(self, what: str, below: int | None = None) -> list[str]:
-        home = self._home(what)
+        home = f"{self.folder}/{what}"
         names = [n for n in list_names(self.spark, home) if n.startswith("batch=") and (below is None or int(n[6:]) < below)]
         return [f"{home}/{n}" for n in names if path_exists(self.spark, f"{home}/{n}/_SUCCESS")]
 
-    def _read(self, what: str, schema: str, below: int | None = None) -> DataFrame:
-        parts = self._parts(what, below)
-        return self.spark.read.schema(schema).parquet(*parts) if parts else self.spark.createDataFrame([], schema)
-
-    @contextmanager
-    def _table(self, below: int):
-        """The index of the batches before ``below`` as a bucketed table."""
-        name = f"jobstrata_index_{uuid.uuid4().hex}"
-        self.spark.sql(
-            f"CREATE TABLE {name} (key binary, first_row_id long, batch string) USING parquet PARTITIONED BY (batch) "
-            f"CLUSTERED BY (key) SORTED BY (key) INTO {self.buckets} BUCKETS LOCATION '{self._home('index')}'"
-        )
-        try:
-            parts = [p for p in self._parts("index", below) if path_exists(self.spark, f"{p}/fresh=1")]
-            if parts:
-                each = " ".join(f"PARTITION (batch='{p[-6:]}') LOCATION '{p}/fresh=1'" for p in parts)
-                self.spark.sql(f"ALTER TABLE {name} ADD {each}")
-            yield self.spark.table(name)
-        finally:
-            self.spark.sql(f"DROP TABLE {name}")  # external: the files stay
-
-    def _write_bucketed(self, df: DataFrame, path: str) -> None:
-        name = f"jobstrata_batch_{uuid.uuid4().hex}"
-        delete_path(self.spark, path)
-        try:
-            df.write.format("parquet").option("path", path).partitionBy("fresh").bucketBy(self.buckets, "key").sortBy("key").saveAsTable(name)
-        finally:
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-
     def accept(self, batch: int, rows: DataFrame) -> DataFrame:
         """Take in one batch of ``row_id, id, url``; see :meth:`accept_identities`."""
         mine = materialize(identities(rows), "identities")
@@ -117,13 +82,12 @@ class History:
         first to have an identity of the row (often the row itself).
         """
         own = mine.groupBy("key").agg(F.min("row_id").alias("_own"))
-        home = f"{self._home('index')}/batch={batch:06d}"
-        with self._table(batch) as stored:
+        with self.index.table(batch) as stored:
             if mine.count() <= PROBE:
                 stored = stored.where(F.col("key").isin([r.key for r in mine.select("key").distinct().collect()]))
-            met = own.hint("shuffle_hash").join(stored.select("key", "first_row_id"), "key", "left")
-            firsts = met.select("key", F.coalesce("first_row_id", "_own").alias("first_row_id"), F.col("first_row_id").isNull().cast("int").alias("fresh"))
-            self._write_bucketed(firsts, home)
+            met = own.hint("shuffle_hash").join(stored, "key", "left")
+            firsts = met.select("key", F.coalesce("first_row_id", "_own").alias("first_row_id"), F.col("first_row_id").isNull().cast("int").alias("live"))
+            home = self.index.write(batch, firsts)
         firsts = self.spark.read.schema("key binary, first_row_id long").parquet(home)
         places = mine.join(firsts, "key").groupBy("row_id").agg(F.min("first_row_id").alias("a"), F.max("first_row_id").alias("b"))
         out = f"{self.folder}/accepted/batch={batch:06d}"
@@ -148,8 +112,13 @@ class History:
         new.write.mode("overwrite").parquet(f"{self.folder}/ties/batch={batch:06d}")
         release(merged)
 
+    def compact(self, upto: int) -> None:
+        """Merge the index of the batches up to ``upto``, which then can't be accepted again."""
+        self.index.compact(upto)
+
     def accepted(self) -> DataFrame:
-        return self._read("accepted", _PLACES)
+        parts = self._parts("accepted")
+        return self.spark.read.schema(_PLACES).parquet(*parts) if parts else self.spark.createDataFrame([], _PLACES)
 
     def repeats(self) -> DataFrame:
         """``first_row_id, row_id`` of every row that isn't the first of its posting."""

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from jobstrata.llm import history as history_module
 from jobstrata.llm.history import History, identities
 from jobstrata.session import scratch_path
 
@@ -89,3 +90,37 @@ def test_hot_identity(spark):
     rows = [(n, "same", f"https://b.test/acme/jobs/{1000000 + n}", None, None) for n in range(200)]
     _, got = run(spark, rows, 2)
     assert got == {(0, n) for n in range(1, 200)}
+
+
+def test_small_batches_probe_like_large_ones_and_after_merging(spark, monkeypatch):
+    rows = [(n, f"{n % 7}abc", f"https://b.test/acme/jobs/{1000000 + n % 11}", None, None) for n in range(40)]
+    for probe in (0, 10_000):
+        monkeypatch.setattr(history_module, "PROBE", probe)
+        df = spark.createDataFrame(rows, SCHEMA)
+        history = History(spark, scratch_path(spark, "test-history"), buckets=3)
+        for k in range(5):
+            history.accept(k, df.where(f"row_id >= {k * 8} and row_id < {(k + 1) * 8}"))
+            if k == 3:
+                history.compact(2)
+        assert {(r.first_row_id, r.row_id) for r in history.repeats().collect()} == brute(rows)
+    with pytest.raises(ValueError):
+        history.accept(1, df)
+
+
+def test_ties_are_merged_over_batches(spark):
+    url = "https://b.test/acme/jobs/{}"
+    rows = [(n, f"id{n}", url.format(1234000 + n), None, None) for n in range(8)]
+    rows += [(8, "id6", url.format(1234007), None, None), (9, "id7", url.format(1234005), None, None), (10, "id5", url.format(1234001), None, None), (11, "id1", url.format(1234000), None, None)]
+    for batches in (1, 6, 12):
+        _, got = run(spark, rows, batches)
+        assert got == brute(rows)
+
+
+def test_the_index_stays_in_place(spark):
+    history = History(spark, scratch_path(spark, "test-history"), buckets=4)
+    df = spark.createDataFrame([(n, f"{n}abc", None, None, None) for n in range(50)], SCHEMA)
+    history.accept(0, df)
+    own = identities(df).groupBy("key").agg(F.min("row_id").alias("_own")).hint("shuffle_hash")
+    with history.index.table(1) as stored:
+        plan = own.join(stored, "key", "left")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1, plan
