@@ -114,9 +114,12 @@ def candidates(index: DataFrame, items: DataFrame) -> DataFrame:
             *[F.max(F.when(F.col("rank") == k, F.col(c))).alias(f"{c}{k}") for k in range(1, LISTS + 1) for c in ("term", "at")]
         ).join(terms.groupBy("item", "seg").agg(F.min("at").alias("lo"), F.count("*").cast("int").alias("len")), ["item", "seg"]), "anchors",
     )
-    found = index.join(anchors, F.col("term") == F.col("term1")).withColumn("start", F.col("pos") - F.col("at1")).drop("term", "pos")
+    # The lists that are intersected, read from the index once.
+    used = anchors.select(F.explode(F.array_compact(F.array(*[f"term{k}" for k in range(1, LISTS + 1)]))).alias("term")).distinct()
+    read = materialize(index.join(used, "term", "left_semi"), "lists")
+    found = read.join(anchors, F.col("term") == F.col("term1")).withColumn("start", F.col("pos") - F.col("at1")).drop("term", "pos")
     for k in range(2, LISTS + 1):
-        lists = index.join(anchors.select(F.col(f"term{k}").alias("term")).distinct(), "term", "left_semi").select(
+        lists = read.join(anchors.select(F.col(f"term{k}").alias("term")).distinct(), "term", "left_semi").select(
             F.col("doc").alias("d"), F.col("term").alias("t"), F.col("pos").alias("p")
         )
         fits = (
@@ -185,7 +188,9 @@ def verify(found: DataFrame, docs: DataFrame, items: DataFrame, doc_id: str = "d
     """Exact comparison of each candidate; ``doc_id, item_id`` of the leaks."""
     # Tests ride along: a row per candidate carries the few dozen words around it, not the document.
     at = found.join(items.select("item", "words", "se", "we"), "item").withColumnRenamed("words", "item_words")
-    body = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(doc_id, text).alias("doc"), plain_words(F.col(text)).alias("words"))
+    # Only documents with a candidate are read into words.
+    own = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(doc_id, text).alias("doc"), F.col(text).alias("text"))
+    body = own.join(found.select("doc").distinct(), "doc", "left_semi").select("doc_id", "doc", plain_words(F.col("text")).alias("words"))
     room = F.size("item_words") + F.size("item_words")
     lo = F.greatest(F.lit(0), F.col("start") - F.size("item_words"))
     def whole(seg):

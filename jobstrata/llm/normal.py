@@ -52,12 +52,12 @@ def fold(c: Column) -> Column:
 def plain_words(c: Column) -> Column:
     """Words of a text as an array, without case, accents, punctuation, spacing and markup.
 
-    Digit groups that only punctuation or spaces part are one word, so a number
-    written ``57,500``, ``57500`` or ``57 500`` gives the same word.  Null stays
-    null; a text without letters and digits gives an empty array.
+    Every digit is a word of its own, so a number written ``57,500``, ``57500``
+    or ``57 500`` gives the same words, and what stands beside it doesn't
+    change them.  Null stays null; a text without letters and digits gives an
+    empty array.
     """
     t = F.regexp_replace(c, r"<[/!]?[a-zA-Z][^<>]*>|&#?\w{1,8};", " ")
     t = F.regexp_replace(t, r"\bUS\$", "\\$")
     t = F.regexp_replace(fold(t), r"['‘’ʼ´`]+", "")
-    t = F.regexp_replace(t, r"(?<=[0-9])[.,\s\u00a0]+(?=[0-9])", "")
-    return F.regexp_extract_all(t, F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    return F.regexp_extract_all(t, F.lit(r"[0-9]|[\p{L}\p{N}&&[^0-9]]+"), F.lit(0))

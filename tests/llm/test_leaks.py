@@ -102,7 +102,7 @@ def test_words_of_many_parts(spark):
     item = " ".join("-".join(rng.choice(WORDS) + str(10 * k + j) for j in range(4)) if k % 2 else rng.choice(WORDS) + f"x{k}" for k in range(32))
     words = item.split()
     parts = leaks.segments(leaks.item_words(spark.createDataFrame([(9, item, 0)], ITEMS)))
-    joined = [len(re.findall("[a-z0-9]+", w)) for w in words]
+    joined = [len(re.findall("[a-z]+|[0-9]", w)) for w in words]
     borders = {sum(joined[:k]) for k in range(len(joined))}
     firsts = {r.at for r in parts.groupBy("seg").agg({"at": "min"}).withColumnRenamed("min(at)", "at").collect()}
     assert firsts <= borders and len(firsts) == 32 // leaks.CHANGED + 1
@@ -114,3 +114,16 @@ def test_words_of_many_parts(spark):
     got = found(spark, docs, [(9, item, 0)])
     assert {d for d, _ in got if d < 200} == set(range(18))
     assert (200, 9) in got and (201, 9) not in got
+
+
+@pytest.mark.parametrize("outer, inner", [("-", " "), ("/", " "), (" ", "-"), ("-", "-"), ("/", "-")])
+def test_every_run_of_fifteen_is_found(spark, outer, inner):
+    """Items whose words partly have several parts, or numbers that punctuation parts."""
+    rng = random.Random(hash((outer, inner)) % 1000)
+    word = lambda k, join: f"{rng.choice(WORDS)}a{k}" + (f"{join}{rng.choice(WORDS)}b{k}" if join != " " else "")
+    words = [word(k, outer if k < 3 or k >= 18 else inner) for k in range(23)]
+    words[1], words[9], words[20] = "57,500", "x9", "14.0%"
+    item = " ".join(words)
+    docs = [(n, "before it " + " ".join(words[n:n + 15]) + " after it", 0) for n in range(9)]
+    docs += [(100 + n, "before it " + " ".join(words[n:n + 14]) + " after it", 0) for n in range(10)]
+    assert found(spark, docs, [(9, item, 0)]) == {(n, 9) for n in range(9)}
