@@ -48,14 +48,25 @@ def _mask(word: Column) -> Column:
     return F.regexp_replace(word, r"\d+", "9")
 
 
+def _last_line(text: Column) -> Column:
+    return F.substring_index(F.translate(text, "\r", "\n"), "\n", -1)
+
+
 def endings(docs: DataFrame) -> DataFrame:
-    """Add what the end of ``text`` shows.  Blank and null texts drop out."""
-    d = docs.where(F.col("text").rlike(r"[^\s\u00a0]"))
-    more, dots = F.regexp_extract("text", _MORE, 0), F.regexp_extract("text", _DOTS, 0)
-    d = d.withColumn("_mark", F.when(more != "", more).otherwise(dots))
-    d = d.withColumn("_core", F.substring(F.col("text"), F.lit(1), F.length("text") - F.length("_mark")))
-    tail = F.translate(F.rtrim(F.col("_core"), F.lit(BLANK_CHARS)), "\r", "\n")
-    d = d.withColumn("_line", F.substring_index(tail, "\n", -1))
+    """Add what the end of ``text`` shows.  Blank and null texts drop out.
+
+    Patterns are held against the last line only, whatever the length of the text.
+    """
+    d = docs.withColumn("_body", F.rtrim(F.col("text"), F.lit(BLANK_CHARS))).where("_body != ''")
+    d = d.withColumn("_line", _last_line(F.col("_body")))
+    more, dots = F.regexp_extract("_line", _MORE, 0), F.regexp_extract("_line", _DOTS, 0)
+    d = d.withColumn("_more", more).withColumn("_mark", F.when(F.col("_more") != "", F.col("_more")).otherwise(dots))
+    # A mark on a line of its own takes the line end before it along.
+    alone = (F.col("_mark") == F.col("_line")) & (F.length("_body") > F.length("_line"))
+    left = F.substring(F.col("_body"), F.lit(1), F.length("_body") - F.length("_mark") - F.when(alone, 1).otherwise(0))
+    d = d.withColumn("_core", F.when(F.col("_mark") == "", F.col("text")).when(F.col("_more") != "", left).otherwise(F.rtrim(left, F.lit(BLANK_CHARS))))
+    d = d.withColumn("_line", F.when(F.col("_mark") == "", F.col("_line")).otherwise(_last_line(F.rtrim(F.col("_core"), F.lit(BLANK_CHARS)))))
+    more, dots = F.col("_more"), F.when(F.col("_more") == "", F.col("_mark")).otherwise("")
     return d.select(
         *docs.columns,
         F.length("text").cast("long").alias("n_all"),
@@ -63,7 +74,7 @@ def endings(docs: DataFrame) -> DataFrame:
         F.length("_core").cast("long").alias("n_core"),
         F.xxhash64("text").alias("h"),
         (more != "").alias("said_more"),
-        ((more == "") & (dots != "")).alias("dotted"),
+        (dots != "").alias("dotted"),
         F.col("_line").rlike(_END).alias("ended"),
         F.col("_line").rlike(_TORN).alias("torn"),
         F.col("_line").rlike(_CLOSED).alias("closed"),
@@ -86,11 +97,12 @@ def word_stops(docs: DataFrame, ends: DataFrame) -> DataFrame:
     """
     parts = F.regexp_extract_all("text", F.lit(r"[^\s\u00a0]+(?:[ \t\u00a0]*[\r\n]+)?"), F.lit(0))
     inner = F.slice(parts, F.lit(1), F.greatest(F.size(parts) - 1, F.lit(0)))
-    w = docs.select(F.explode(inner).alias("w"))
+    # Words as written are counted first: the patterns then see each once, not at each use.
+    w = docs.select(F.explode(inner).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
     stop = F.col("w").rlike(r"[.,;:!?)\]…。、\r\n]$")
     word = _mask(F.regexp_replace("w", r"^[(\[]+|[\s.,;:!?)\]…。、]+$", ""))
-    used = w.select(word.alias("last"), stop.alias("s")).groupBy("last").agg(
-        F.count("*").alias("uses"), F.count_if("s").alias("stops")
+    used = w.select(word.alias("last"), "n", F.when(stop, F.col("n")).otherwise(0).alias("s")).groupBy("last").agg(
+        F.sum("n").alias("uses"), F.sum("s").alias("stops")
     )
     finals = ends.select("last", "entry", "h").distinct().groupBy("last").agg(
         F.count("*").alias("finals"), F.count_if("entry").alias("closing")
