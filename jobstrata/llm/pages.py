@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import math
 import re
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,15 +28,16 @@ from jobstrata.sources.tables import table
 #: Words with a capital on at least this share of all sites are common; there
 #: can't be more than (words per site) / COMMON of them.
 COMMON, COMMON_LEAST = 0.004, 4
-#: Wordings on at least this share of all pages are judged as such; there can't
-#: be more than (lines per page) / FREQUENT of them.  Rarer ones go by their own page.
-FREQUENT, FREQUENT_LEAST = 0.0001, 3
+#: Lines of a wording from which on it is judged; rarer ones go by their own page's neighbours.
+LEAST = 3
+#: Wordings on at least this share of all pages are hot: there can't be more than (lines per page) / HOT of them.
+HOT = 0.001
 #: Words of titles that make up at least this share of all title words.
 TITLE_SHARE = 0.0003
 #: Pages that share more than this part of their lines are copies and aren't compared.
 COPY = 0.7
-#: Lines that occur more often than this on both pages of a pair are aligned in order of occurrence.
-REPEATS = 64
+#: Cells of an alignment whose rows are kept at once; larger ones are halved.
+TABLE = 1 << 31
 
 # Bits of a line's features.
 # PAIRED and SHARED: with the page before; NEAR: shared with the page before or after.
@@ -76,53 +76,70 @@ def _hash(s: str) -> int:
 
 
 def shared_lines(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
-    """Positions of a longest common subsequence of two sequences of line keys."""
+    """Positions of a longest common subsequence of two sequences of line keys, however long or repetitive.
+
+    A row of the table is one integer, a bit for each line of ``b``, so that a
+    line of ``a`` costs a few operations on it.
+    """
     lo = 0
     while lo < len(a) and lo < len(b) and a[lo] == b[lo]:
         lo += 1
     ea, eb = len(a), len(b)
     while ea > lo and eb > lo and a[ea - 1] == b[eb - 1]:
         ea, eb = ea - 1, eb - 1
-    at: dict[int, list[int]] = {}
-    for j in range(lo, eb):
-        at.setdefault(b[j], []).append(j)
-    seen: dict[int, int] = {}
-    tails: list[int] = []
-    ends: list[int] = []
-    chain: list[tuple[int, int, int]] = []
-    for i in range(lo, ea):
-        where = at.get(a[i])
-        if not where:
-            continue
-        if len(where) > REPEATS:
-            k = seen.get(a[i], 0)
-            seen[a[i]] = k + 1
-            where = where[k:k + 1]
-        for j in reversed(where):
-            p = bisect_left(tails, j)
-            chain.append((i, j, ends[p - 1] if p else -1))
-            if p == len(tails):
-                tails.append(j)
-                ends.append(len(chain) - 1)
-            else:
-                tails[p], ends[p] = j, len(chain) - 1
-    left, right = list(range(lo)), list(range(lo))
-    at_, mid = (ends[-1] if ends else -1), []
-    while at_ >= 0:
-        i, j, at_ = chain[at_]
-        mid.append((i, j))
-    for i, j in reversed(mid):
-        left.append(i)
-        right.append(j)
-    return left + list(range(ea, len(a))), right + list(range(eb, len(b)))
+    pairs = _aligned(a[lo:ea], b[lo:eb])
+    left = [*range(lo), *(lo + i for i, _ in pairs), *range(ea, len(a))]
+    return left, [*range(lo), *(lo + j for _, j in pairs), *range(eb, len(b))]
+
+
+def _rows(a: list[int], b: list[int]) -> Iterator[int]:
+    """For each line of ``a``: bit j is nought where the subsequence of the lines so far grows at line j of ``b``."""
+    where: dict[int, int] = {}
+    for j, y in enumerate(b):
+        where[y] = where.get(y, 0) | 1 << j
+    full = (1 << len(b)) - 1
+    row = full
+    for x in a:
+        hit = row & where.get(x, 0)
+        row = (row + hit | row - hit) & full
+        yield row
+
+
+def _lengths(a: list[int], b: list[int]) -> np.ndarray:
+    """Length of the subsequence of ``a`` with each beginning of ``b``."""
+    row = (1 << len(b)) - 1
+    for row in _rows(a, b):
+        pass
+    bits = np.unpackbits(np.frombuffer(row.to_bytes(len(b) // 8 + 1, "little"), np.uint8), bitorder="little")[:len(b)]
+    return np.concatenate(([0], np.cumsum(1 - bits.astype(np.int64))))
+
+
+def _aligned(a: list[int], b: list[int]) -> list[tuple[int, int]]:
+    if not a or not b:
+        return []
+    if len(a) > 1 and len(a) * len(b) > TABLE:
+        # Too many rows to keep: halve, at the place where the halves' lengths add up to the most.
+        mid = len(a) // 2
+        at = int(np.argmax(_lengths(a[:mid], b) + _lengths(a[mid:][::-1], b[::-1])[::-1]))
+        return _aligned(a[:mid], b[:at]) + [(mid + i, at + j) for i, j in _aligned(a[mid:], b[at:])]
+    rows = [(1 << len(b)) - 1, *_rows(a, b)]
+    out, i, j = [], len(a), len(b)
+    while i and j:
+        if rows[i] >> (j - 1) & 1:
+            j -= 1
+        elif i > 1 and not rows[i - 1] >> (j - 1) & 1:
+            i -= 1
+        else:
+            i, j = i - 1, j - 1
+            out.append((i, j))
+    return out[::-1]
 
 
 def common_words(pages: DataFrame) -> list[str]:
     """Capitalised words that stand on many sites (a list of bounded length)."""
-    sites = pages.select("site").agg(F.approx_count_distinct("site")).first()[0]
-    least = max(COMMON_LEAST, math.ceil(sites * COMMON))
-    words = pages.select("site", F.explode(F.array_distinct(F.regexp_extract_all("raw_text", F.lit(r"(?<!\p{L})\p{Lu}\p{L}*"), F.lit(0)))).alias("w"))
-    found = words.groupBy("w").agg(F.approx_count_distinct("site").alias("n")).where(F.col("n") >= least)
+    least = max(COMMON_LEAST, math.ceil(pages.select("site").distinct().count() * COMMON))
+    words = pages.select("site", F.explode(F.array_distinct(F.regexp_extract_all("raw_text", F.lit(r"(?<!\p{L})\p{Lu}\p{L}*"), F.lit(0)))).alias("w")).distinct()
+    found = words.groupBy("w").agg(F.count("*").alias("n")).where(F.col("n") >= least)
     return [r.w for r in found.collect()]
 
 
@@ -249,14 +266,18 @@ def line_evidence(read: DataFrame) -> DataFrame:
     )
 
 
-def judged(evidence: DataFrame, pages: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys, scores and heading marks of the frequent wordings (a list of bounded length).
+def page_capital_rate(evidence: DataFrame) -> float:
+    """Share of capitals in the few-word headings that are written both ways."""
+    mixed = evidence.where("bare_words >= 0.5 * n and capital > 0 and capital < 0.5 * n and bullet < 0.1 * n")
+    return mixed.agg(F.coalesce(F.sum("capital") / F.sum("n"), F.lit(0.0))).first()[0]
+
+
+def scored(rows: pd.DataFrame, rate: float) -> pd.DataFrame:
+    """``key, score, heading`` of the wordings of :func:`line_evidence`.
 
     A score above nought speaks for furniture: the log of how much likelier the
     counts are for furniture than for text of a posting.
     """
-    least = max(FREQUENT_LEAST, math.ceil(pages * FREQUENT))
-    rows = evidence.where(F.col("n") >= least).toPandas().sort_values("key")
     n = rows["n"].to_numpy(float)
 
     def scaled(k: str, of: np.ndarray, most: float) -> tuple[np.ndarray, np.ndarray]:
@@ -277,13 +298,40 @@ def judged(evidence: DataFrame, pages: int) -> tuple[np.ndarray, np.ndarray, np.
     score -= np.where(bullets >= 0.1 * n, 30.0, 0.0)
     # A few words that many pages repeat, but never as a list item or in a heading's capitals, are rather a
     # control: so much less likely is a heading, at the corpus's own rate of capitals in headings.
-    short = rows["bare_words"].to_numpy(float) >= 0.5 * n
-    mixed = short & (capitals > 0) & (capitals < 0.5 * n) & (bullets < 0.1 * n)
-    rate = capitals[mixed].sum() / n[mixed].sum() if mixed.any() else 0.0
     plain = (rows["bare_words"].to_numpy(float) >= 0.9 * n) & (bullets == 0) & (capitals == 0) & (n >= 25)
     score += np.where(plain, np.minimum(6.0, -math.log1p(-rate) * n), 0.0)
     heading = (capitals >= 0.02 * n) & (capitals < 0.9 * n) & (bullets < 0.1 * n) & (n >= 10)
-    return rows["key"].to_numpy(np.int64), score.astype(np.float32), heading
+    return pd.DataFrame({"key": rows["key"], "score": score.astype(np.float32), "heading": heading})
+
+
+def with_verdicts(read: DataFrame, evidence: DataFrame, pages: int) -> tuple[DataFrame, pd.DataFrame]:
+    """Pages with the verdicts on their wordings that aren't hot, and the verdicts on the hot ones.
+
+    Every wording on LEAST lines or more is judged, however large the corpus.
+    Those on a share HOT of the pages are a list of bounded length, which is
+    sent along; the others are joined by wording, so no hot key takes part, and
+    come as arrays ``seen, scores, heads``.
+    """
+    rate = page_capital_rate(evidence)
+    known = evidence.where(F.col("n") >= LEAST)
+    hot = scored(known.where(F.col("n") >= pages * HOT).toPandas(), rate).sort_values("key", ignore_index=True)
+
+    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield scored(b, rate)
+
+    rare = known.where(F.col("n") < pages * HOT).mapInPandas(judge, "key long, score float, heading boolean")
+    hot_keys = read.sparkSession.createDataFrame(hot[["key"]], "key long")
+    named = read.withColumn("page", F.xxhash64("detail_id", "keys", "parts"))
+    lines = named.select("page", F.explode(F.array_distinct(F.concat("keys", "parts"))).alias("key")).where("key != 0")
+    met = lines.join(F.broadcast(hot_keys), "key", "left_anti").join(rare, "key").groupBy("page").agg(
+        F.collect_list(F.struct("key", "score", "heading")).alias("met")  # at most the lines of a page
+    )
+    out = named.join(met, "page", "left").select(
+        "detail_id", "keys", "bits", "parts", "of", "head",
+        *[F.coalesce(F.col(f"met.{f}"), F.array().cast(t)).alias(c) for f, t, c in (("key", "array<long>", "seen"), ("score", "array<float>", "scores"), ("heading", "array<boolean>", "heads"))],
+    )
+    return out, hot
 
 
 def keep_lines(keys, bits, parts, of, head: int, find) -> list[int]:
@@ -373,20 +421,19 @@ def body_lines(details: DataFrame) -> DataFrame:
     a repeated row gives a row each time.
     """
     read = materialize(read_pages(details), "read-pages")
-    spark = details.sparkSession
-    keys, score, heading = judged(line_evidence(read), read.count())
-    sent = spark.sparkContext.broadcast((keys, score, heading))
+    evidence = materialize(line_evidence(read).where("key != 0"), "evidence")
+    judged, hot = with_verdicts(read, evidence, read.count())
+    sent = details.sparkSession.sparkContext.broadcast(hot)
     schema = f"detail_id {dict(details.dtypes)['detail_id']}, kept array<int>, head int"
 
     def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys, score, heading = sent.value
-
-        def find(key: int):
-            i = int(np.searchsorted(keys, key))
-            return (float(score[i]), bool(heading[i])) if i < len(keys) and keys[i] == key else None
-
+        common = {k: (float(s), bool(h)) for k, s, h in zip(sent.value["key"], sent.value["score"], sent.value["heading"])}
         for b in batches:
-            kept = [keep_lines(list(k), list(f), list(p), list(o), int(h), find) for k, f, p, o, h in zip(b["keys"], b["bits"], b["parts"], b["of"], b["head"])]
+            kept = []
+            for keys, bits, parts, of, head, seen, scores, heads in zip(*(b[c] for c in ("keys", "bits", "parts", "of", "head", "seen", "scores", "heads"))):
+                own = {k: (float(s), bool(h)) for k, s, h in zip(seen, scores, heads)}
+                find = lambda k, own=own: common.get(k) or own.get(k)
+                kept.append(keep_lines(list(keys), list(bits), list(parts), list(of), int(head), find))
             yield pd.DataFrame({"detail_id": b["detail_id"], "kept": kept, "head": b["head"]})
 
-    return read.mapInPandas(decide, schema)
+    return judged.mapInPandas(decide, schema)

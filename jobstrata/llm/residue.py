@@ -1,12 +1,14 @@
 """Pages that hold template residue, filler or an error notice instead of a posting.
 
-Fragments in the marks of template languages are candidates for open slots.
-All pages are aligned around each candidate, those with a filled value in its
-place too: where sites agree on the fragment it is text (a posting may well
-speak of ``${VARIABLE}``), where pages differ, or nothing of another site
-aligns, it is a slot left open.  Pages of which
-nothing remains once the wording shared by pages is taken away, and which so
-repeat a whole-page error template, hold no posting.
+Records are aligned around each candidate: what other records hold between the
+same words is the slot's filling.  Candidates are fragments in the marks of
+template languages, bare names of variables, and labels with nothing after
+them.  A fragment in marks is a slot left open, unless sites agree on it (a
+posting may well speak of ``${VARIABLE}``); a bare name or a blank is one only
+where most records have a filling in its place.  Pages of which nothing remains
+once the wording shared by pages is taken away, and which so repeat a
+whole-page error template, hold no posting.  What editors write to each other,
+and filler, stands in no slot of its own and is told by its wording.
 """
 
 from __future__ import annotations
@@ -24,8 +26,9 @@ from jobstrata.llm.pages import body_lines, laid_out
 from jobstrata.session import materialize
 from jobstrata.sources.tables import table
 
-#: A fragment is text if pages of several sites agree on it (those of one site share a
+#: A fragment in marks is text if pages of several sites agree on it (those of one site share a
 #: template) and they are this share of the pages with a fragment or filled value in its place.
+#: A bare name or blank is a slot if fillings are this share of them.
 AGREE_SHARE = 0.8
 
 # Marks of template languages around a variable's name.
@@ -37,6 +40,10 @@ _MARKS = re.compile(
     r"|\bXX [\w .-]+? XX\b|\((?:enter|insert|your|add|fill in|type)\b[^()\n]*\)|_{3,}",
     re.I,
 )
+# Names of variables without marks: words joined by underscores or by capitals, not within addresses or files.
+_NAME = re.compile(r"(?<![\w/@.$#%-])(?:[A-Za-z]+(?:_[A-Za-z]+)+|[a-z]+(?:[A-Z][a-z]+)+)(?![\w/@(]|\.\w)")
+# A short label with nothing after it.
+_LABEL = re.compile(r"^\s*[^\W\d_][\w ]{0,30}:\s*$", re.M)
 # Names of HTML elements, which aren't variables.
 _TAGS = re.compile(r"^</?(?:a|b|i|u|p|br|hr|li|ul|ol|em|td|tr|th|div|span|strong|table|tbody|h[1-6]|img|script|style|body|html|head)\b", re.I)
 # What editors write for each other, and filler.
@@ -46,7 +53,7 @@ _REMINDER = re.compile(
     r"|(?i:\b(?:delete|remove|replace|overwrite|edit) this (?:text|paragraph|section|line|block|sentence|box|copy)\b)"
     r"|(?i:\bto be (?:provided|supplied|confirmed|completed|written|filled in|added|announced|determined|defined) by\b)"
     r"|(?i:\b(?:text|copy|content|description|blurb|duties|details|summary|location|salary)\s+(?:goes here|to go here|to come|to follow|pending)\b)"
-    r"|(?i:\b(?:write|describe|explain|add|insert|enter|type|put|list|state)\b[^.\n]{0,80}\bin this (?:space|box|field|place|section|paragraph)\b)"
+    r"|(?i:\b(?:write|describe|explain|add|insert|enter|type|put|list|state)\b[^.\n]*\bin this (?:space|box|field|place|section|paragraph)\b)"
     r"|(?i:\bsection \d+ (?:heading|body|bullet|paragraph|title|list) (?:copy|text)\b)"
     r"|(?i:\b(?:asdf\w*|qwerty|blah)\b)"
 )
@@ -84,10 +91,11 @@ def _ends(pair: tuple[str, str]):
 
 
 def fragments(details: DataFrame) -> DataFrame:
-    """``detail_id, page, site, sure, l2, l1, fill, r1, r2``: what may be residue in each page's text.
+    """``detail_id, page, site, sure, marked, l2, l1, fill, r1, r2``: what may be residue in each page's text.
 
     ``sure`` rows are reminders and filler; the others are fragments in
-    template marks, with the two words before and after them in the line.
+    template marks (``marked``), bare names and blanks after labels, with the
+    two words before and after them in the line.
     """
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -95,30 +103,34 @@ def fragments(details: DataFrame) -> DataFrame:
             for did, page, site, text in zip(b["detail_id"], b["page"], b["site"], b["raw_text"]):
                 t = html.unescape(text) if "&" in text else text
                 if _REMINDER.search(t) or any(_filler(s) for s in _SENTENCE.split(t)):
-                    rows.append((did, page, site, True, None, None, None))
+                    rows.append((did, page, site, True, False, None, None, None))
                     continue
-                for m in _MARKS.finditer(t):
-                    if not _TAGS.match(m[0]):
-                        stop = t.find("\n", m.end())
-                        left = t[t.rfind("\n", 0, m.start()) + 1:m.start()]
-                        rows.append((did, page, site, False, left, m[0], t[m.end():len(t) if stop < 0 else stop]))
-            yield pd.DataFrame(rows, columns=["detail_id", "page", "site", "sure", "left", "fill", "right"])
+                found = [(m, True) for m in _MARKS.finditer(t) if not _TAGS.match(m[0])]
+                inside = [range(m.start(), m.end()) for m, _ in found]
+                found += [(m, False) for m in _NAME.finditer(t) if not any(m.start() in r for r in inside)]
+                for m, marked in found:
+                    stop = t.find("\n", m.end())
+                    left = t[t.rfind("\n", 0, m.start()) + 1:m.start()]
+                    rows.append((did, page, site, False, marked, left, m[0], t[m.end():len(t) if stop < 0 else stop]))
+                rows += [(did, page, site, False, False, m[0].strip(), "", "") for m in _LABEL.finditer(t)]
+            yield pd.DataFrame(rows, columns=["detail_id", "page", "site", "sure", "marked", "left", "fill", "right"])
 
     own = laid_out(details).select("detail_id", F.xxhash64("raw_text").alias("page"), F.coalesce("site", F.lit("")).alias("site"), "raw_text")
-    schema = f"detail_id {dict(details.dtypes)['detail_id']}, page long, site string, sure boolean, left string, fill string, right string"
+    schema = f"detail_id {dict(details.dtypes)['detail_id']}, page long, site string, sure boolean, marked boolean, left string, fill string, right string"
     near = own.mapInPandas(find, schema).select(
         "*", F.slice(F.concat(_ends(_HEAD), _tokens(F.col("left"))), -2, 2).alias("l"), F.slice(F.concat(_tokens(F.col("right")), _ends(_TAIL)), 1, 2).alias("r")
     )
     return near.select(
-        "detail_id", "page", "site", "sure", F.col("l")[0].alias("l2"), F.col("l")[1].alias("l1"), "fill", F.col("r")[0].alias("r1"), F.col("r")[1].alias("r2")
+        "detail_id", "page", "site", "sure", "marked", F.col("l")[0].alias("l2"), F.col("l")[1].alias("l1"), "fill", F.col("r")[0].alias("r1"), F.col("r")[1].alias("r2")
     )
 
 
-def filled(details: DataFrame, agreed: DataFrame) -> DataFrame:
-    """``l1, r1, fill, page``: pages with other words in the place of a fragment.
+def filled(details: DataFrame, doubtful: DataFrame) -> DataFrame:
+    """``at, l1, r1, fill, page``: pages with other words in the place of a fragment.
 
-    The place is the words next to ``agreed(l2, l1, fill, r1, r2)`` and one
-    more on either side, within a line.
+    The place is the words next to ``doubtful(at, l2, l1, fill, r1, r2)`` and
+    one more on either side (on the left only, where it is part of the place
+    as ``at``), within a line.
     """
     line = F.explode(F.split("text", "\n")).alias("line")
     text = details.where("raw_text is not null").select(F.xxhash64("raw_text").alias("page"), _unescaped("raw_text").alias("text"))
@@ -126,27 +138,33 @@ def filled(details: DataFrame, agreed: DataFrame) -> DataFrame:
     # Each pair of neighbouring words, with its place from 0.
     pairs = lines.select("page", "t", F.posexplode(F.arrays_zip(F.slice("t", 1, F.size("t") - 1).alias("x"), F.slice("t", 2, F.size("t") - 1).alias("y"))).alias("i", "p"))
     pairs = pairs.select("page", "t", "i", F.col("p.x").alias("x"), F.col("p.y").alias("y"))
-    after = agreed.select("l2", "l1", "fill", "r1").distinct()
-    before = agreed.select("l1", "fill", "r1", "r2").distinct()
+    after = doubtful.select("at", "l2", "l1", "fill", "r1").distinct()
+    before = doubtful.where("at = ''").select("at", "l1", "fill", "r1", "r2").distinct()
     # At least one word stands between.
     ahead = pairs.join(after, (F.col("x") == F.col("l2")) & (F.col("y") == F.col("l1"))).where(F.expr("array_contains(slice(t, i + 4, size(t)), r1)"))
     behind = pairs.join(before, (F.col("x") == F.col("r1")) & (F.col("y") == F.col("r2"))).where(F.expr("array_contains(slice(t, 1, greatest(i - 1, 0)), l1)"))
-    return ahead.select("l1", "r1", "fill", "page").unionByName(behind.select("l1", "r1", "fill", "page")).distinct()
+    return ahead.select(*_PLACE, "fill", "page").unionByName(behind.select(*_PLACE, "fill", "page")).distinct()
+
+
+#: What makes a slot: the words next to it, and before an unmarked one the word before that.
+_PLACE = ("at", "l1", "r1")
 
 
 def open_slots(found: DataFrame, details: DataFrame) -> DataFrame:
     """``detail_id`` of pages with residue among the :func:`fragments` of ``details``."""
-    place, marked = ["l1", "r1"], found.where("not sure")
-    by_fill = marked.groupBy(*place, "fill").agg(F.count_distinct("page").alias("n"), F.count_distinct("site").alias("sites"))
-    whole = by_fill.groupBy(*place).agg(F.sum("n").alias("total"))
-    agreed = by_fill.join(whole, place).where((F.col("sites") > 1) & (F.col("n") >= AGREE_SHARE * F.col("total")))
-    around = materialize(marked.join(agreed, [*place, "fill"]).select("l2", "l1", "fill", "r1", "r2", "n", "total").distinct(), "agreed")
-    others = filled(details, around).join(marked.select("page", *place).distinct(), ["page", *place], "left_anti")
-    others = others.groupBy(*place, "fill").agg(F.count("*").alias("others"))
-    text = around.select(*place, "fill", "n", "total").distinct().join(others, [*place, "fill"], "left").where(
-        F.col("n") >= AGREE_SHARE * (F.col("total") + F.coalesce("others", F.lit(0)))
-    ).select(*place, "fill")
-    left = marked.join(text, [*place, "fill"], "left_anti")
+    marked = F.col("at") == ""
+    near = found.where("not sure").withColumn("at", F.when(F.col("marked"), "").otherwise(F.concat(F.lit("\x01"), "l2")))
+    by_fill = near.groupBy(*_PLACE, "fill").agg(F.count_distinct("page").alias("n"), F.count_distinct("site").alias("sites"))
+    whole = by_fill.groupBy(*_PLACE).agg(F.sum("n").alias("total"))
+    # What may be text, and what only a filling of other records can show to be a slot.
+    doubtful = by_fill.join(whole, [*_PLACE]).where(~marked | ((F.col("sites") > 1) & (F.col("n") >= AGREE_SHARE * F.col("total"))))
+    around = materialize(near.join(doubtful, [*_PLACE, "fill"]).select(*_PLACE, "l2", "fill", "r2", "n", "total").distinct(), "doubtful")
+    others = filled(details, around).join(near.select("page", *_PLACE).distinct(), ["page", *_PLACE], "left_anti")
+    others = others.groupBy(*_PLACE, "fill").agg(F.count("*").alias("others"))
+    known = around.select(*_PLACE, "fill", "n", "total").distinct().join(others, [*_PLACE, "fill"], "left").na.fill(0, ["others"])
+    all_ = AGREE_SHARE * (F.col("total") + F.col("others"))
+    text = known.where((marked & (F.col("n") >= all_)) | (~marked & (F.col("others") < all_))).select(*_PLACE, "fill")
+    left = near.join(text, [*_PLACE, "fill"], "left_anti")
     return found.where("sure").select("detail_id").unionByName(left.select("detail_id")).distinct()
 
 

@@ -109,6 +109,25 @@ def test_slot_left_open_alike_on_many_pages(spark, world):
     assert got == bad | {n for n in range(150, 158) if n in one_site}
 
 
+def test_unmarked_names_and_blanks_are_slots_where_others_have_fillings(spark, world):
+    rows, want = world
+    rows = list(rows)
+    bad = {n for n in want if not want[n]}
+    names, blanks, talk = (30, 31), (64, 65, 66), range(150, 200)
+
+    def change(numbers, edit):
+        for n in numbers:
+            rows[n] = (n, edit(rows[n][1]), *rows[n][2:])
+
+    at = lambda t, new: "\n".join(new if x.startswith("Location: ") else x for x in t.split("\n"))
+    change(names, lambda t: at(t, "Location: posting_city"))
+    change(blanks, lambda t: at(t, "Location:"))
+    # What every record holds in its place is no slot, and a line that ends in a colon is a label only where others are filled.
+    change(talk, lambda t: t.replace("builds", "reads user_id and builds") + "\nWhat we ask:")
+    bad |= {n for k in (names, blanks) for n in k if want[n]}
+    assert {r.detail_id for r in residue.find_residue(spark.createDataFrame(rows, SCHEMA)).collect()} == bad
+
+
 @pytest.mark.parametrize("note", [
     "[Insert two or three sentences about what the team does and whom it serves]", "{{one paragraph on the team, its work and the people and firms it serves}}",
     "{Short paragraph on the team, its work and the people}", "<Short paragraph on the team and the people it serves>", "(add two or three sentences about what the team does and whom it serves)",
@@ -138,12 +157,27 @@ def brute_lcs(a, b):
     return table[-1][-1]
 
 
-def test_alignment_is_longest():
+@pytest.mark.parametrize("table", [1 << 31, 200])
+def test_alignment_is_longest(monkeypatch, table):
+    monkeypatch.setattr(pages, "TABLE", table)
     rng = random.Random(51)
-    for _ in range(300):
-        a = [rng.randrange(6) for _ in range(rng.randrange(15))]
-        b = [rng.randrange(6) for _ in range(rng.randrange(15))]
+    for n in range(300):
+        kinds = 1 + n % 6
+        a = [rng.randrange(kinds) for _ in range(rng.randrange(15 if n % 20 else 300))]
+        b = [rng.randrange(kinds) for _ in range(rng.randrange(15 if n % 20 else 300))]
         left, right = pages.shared_lines(a, b)
         assert len(left) == len(right) == brute_lcs(a, b)
         assert [a[i] for i in left] == [b[j] for j in right] and left == sorted(set(left)) and right == sorted(set(right))
+
+
+def test_alignment_of_long_pages():
     assert len(pages.shared_lines([1] * 50_000, [1] * 40_000 + [2])[0]) == 40_000
+
+
+def test_rare_wordings_are_judged_like_hot_ones(spark, world, monkeypatch):
+    rows, _ = world
+    df = spark.createDataFrame(rows, SCHEMA)
+    whole = lambda: sorted((r.detail_id, tuple(r.kept)) for r in pages.body_lines(df).collect())
+    hot = whole()
+    monkeypatch.setattr(pages, "HOT", 2.0)
+    assert whole() == hot
