@@ -36,6 +36,8 @@ HOT = 0.001
 TITLE_SHARE = 0.0003
 #: Pages that share more than this part of their lines are copies and aren't compared.
 COPY = 0.7
+#: Lines a task remembers as read.
+CACHED = 50_000
 #: Cells of an alignment whose rows are kept at once; larger ones are halved.
 TABLE = 1 << 31
 
@@ -165,12 +167,43 @@ def laid_out(details: DataFrame) -> DataFrame:
     )
 
 
+def _cut(line: str) -> list[str]:
+    """The entries of a line that holds several beside each other, else nothing."""
+    cut = [p for p in _PARTS.split(line.strip()) if p.strip()]
+    return cut if len(cut) > 1 else []
+
+
+def _read_line(line: str, titles: frozenset, known: frozenset) -> tuple:
+    """Words, bare letters, features, first word before a dot (else None), and keys of a line and its entries, on nobody's page."""
+    s = _SPACES.sub(" ", line).strip()
+    if not s:
+        return frozenset(), "", 0, None, 0, []
+    words = _WORD.findall(s)
+    f = BULLET if _BULLET.match(s) else 0
+    if len(s) > 3 and s.upper() == s and s.lower() != s:
+        f |= CAPITAL
+    if 2 <= len(words) <= 10 and all(w.lower() in titles for w in words) and not s.endswith("."):
+        f |= TITLE
+    if _PLACE.match(s):
+        f |= PLACE
+    if len(words) >= 8 and s[-1] in ".!?;:":
+        f |= PROSE
+    if len(words) <= 5:
+        f |= SHORT
+        if not any(c.isdigit() or c in ":·|$" for c in s):
+            f |= BARE_WORDS
+    first = words[0] if s.count(" · ") == 1 and words else None
+    none = frozenset()
+    return frozenset(words), _bare(s), f, first, _hash(wording(s, none, known)), [_hash(wording(p, none, known)) for p in _cut(line)]
+
+
 def _read_pages(common: list[str], titles: list[str]):
     """Lines of each page as keys and features, compared with the page before in URL order."""
     known, title_vocab = frozenset(common), frozenset(titles)
 
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         before = None  # host, site, path, keys, features, output row
+        seen: dict[str, tuple] = {}  # lines, which many pages repeat
         done: list = []
         for b in batches:
             for did, text, title, company, host, site, path in zip(b["detail_id"], b["raw_text"], b["title"], b["company"], b["host"], b["site"], b["path"]):
@@ -180,36 +213,29 @@ def _read_pages(common: list[str], titles: list[str]):
                 keys, bits, parts, of = [], [], [], []
                 head = -1
                 for k, line in enumerate(lines):
-                    s = _SPACES.sub(" ", line).strip()
-                    if not s:
-                        keys.append(0)
-                        bits.append(0)
+                    r = seen.get(line)
+                    if r is None:
+                        r = _read_line(line, title_vocab, known)
+                        if len(seen) >= CACHED:
+                            seen.clear()
+                        seen[line] = r
+                    words, bare, f, first, key, cut = r
+                    if not words and not f:
+                        keys.append(key)
+                        bits.append(f)
                         continue
-                    f = 0
-                    if heading and _bare(s) == heading:
+                    if heading and bare == heading:
                         f |= OWN
                         head = k if head < 0 else head
-                    if _BULLET.match(s):
-                        f |= BULLET
-                    words = _WORD.findall(s)
-                    if len(s) > 3 and s.upper() == s and s.lower() != s:
-                        f |= CAPITAL
-                    if 2 <= len(words) <= 10 and all(w.lower() in title_vocab for w in words) and not s.endswith("."):
-                        f |= TITLE
-                    if _PLACE.match(s) or (s.count(" · ") == 1 and own and _WORD.findall(s)[:1] and _WORD.findall(s)[0] in own):
+                    if first in own:
                         f |= PLACE
-                    if len(words) >= 8 and s[-1] in ".!?;:":
-                        f |= PROSE
-                    if len(words) <= 5:
-                        f |= SHORT
-                        if not any(c.isdigit() or c in ":·|$" for c in s):
-                            f |= BARE_WORDS
-                    cut = [p for p in _PARTS.split(line.strip()) if p.strip()]
-                    if len(cut) > 1:
-                        for p in cut:
-                            parts.append(_hash(wording(p, own, known)))
-                            of.append(k)
-                    keys.append(_hash(wording(s, own, known)))
+                    if not own.isdisjoint(words):
+                        # Its wording depends on whose page it is.
+                        key = _hash(wording(_SPACES.sub(" ", line).strip(), own, known))
+                        cut = [_hash(wording(p, own, known)) for p in _cut(line)] if cut else cut
+                    parts += cut
+                    of += [k] * len(cut)
+                    keys.append(key)
                     bits.append(f)
                 for k in range(len(lines)):
                     if keys[k]:

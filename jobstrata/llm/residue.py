@@ -30,6 +30,8 @@ from jobstrata.sources.tables import table
 #: template) and they are this share of the pages with a fragment or filled value in its place.
 #: A bare name or blank is a slot if fillings are this share of them.
 AGREE_SHARE = 0.8
+#: Lines a task remembers as having been looked at.
+CACHED = 50_000
 
 # Marks of template languages around a variable's name.
 _MARKS = re.compile(
@@ -98,21 +100,29 @@ def fragments(details: DataFrame) -> DataFrame:
     two words before and after them in the line.
     """
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        clean: set[str] = set()  # lines without anything, which many pages repeat
         for b in batches:
             rows = []
             for did, page, site, text in zip(b["detail_id"], b["page"], b["site"], b["raw_text"]):
-                t = html.unescape(text) if "&" in text else text
-                if _REMINDER.search(t) or any(_filler(s) for s in _SENTENCE.split(t)):
-                    rows.append((did, page, site, True, False, None, None, None))
-                    continue
-                found = [(m, True) for m in _MARKS.finditer(t) if not _TAGS.match(m[0])]
-                inside = [range(m.start(), m.end()) for m, _ in found]
-                found += [(m, False) for m in _NAME.finditer(t) if not any(m.start() in r for r in inside)]
-                for m, marked in found:
-                    stop = t.find("\n", m.end())
-                    left = t[t.rfind("\n", 0, m.start()) + 1:m.start()]
-                    rows.append((did, page, site, False, marked, left, m[0], t[m.end():len(t) if stop < 0 else stop]))
-                rows += [(did, page, site, False, False, m[0].strip(), "", "") for m in _LABEL.finditer(t)]
+                own = []
+                for raw in text.split("\n"):
+                    if raw in clean:
+                        continue
+                    line = html.unescape(raw) if "&" in raw else raw
+                    if _REMINDER.search(line) or any(_filler(s) for s in _SENTENCE.split(line)):
+                        own = [(did, page, site, True, False, None, None, None)]
+                        break
+                    found = [(m, True) for m in _MARKS.finditer(line) if not _TAGS.match(m[0])]
+                    inside = [range(m.start(), m.end()) for m, _ in found]
+                    found += [(m, False) for m in _NAME.finditer(line) if not any(m.start() in r for r in inside)]
+                    new = [(did, page, site, False, marked, line[:m.start()], m[0], line[m.end():]) for m, marked in found]
+                    new += [(did, page, site, False, False, m[0].strip(), "", "") for m in _LABEL.finditer(line)]
+                    own += new
+                    if not new:
+                        if len(clean) >= CACHED:
+                            clean.clear()
+                        clean.add(raw)
+                rows += own
             yield pd.DataFrame(rows, columns=["detail_id", "page", "site", "sure", "marked", "left", "fill", "right"])
 
     own = laid_out(details).select("detail_id", F.xxhash64("raw_text").alias("page"), F.coalesce("site", F.lit("")).alias("site"), "raw_text")
@@ -134,12 +144,20 @@ def filled(details: DataFrame, doubtful: DataFrame) -> DataFrame:
     """
     line = F.explode(F.split("text", "\n")).alias("line")
     text = details.where("raw_text is not null").select(F.xxhash64("raw_text").alias("page"), _unescaped("raw_text").alias("text"))
-    lines = text.select("page", line).select("page", F.concat(_ends(_HEAD), _tokens(F.col("line")), _ends(_TAIL)).alias("t"))
+
+    def tokens(of: DataFrame) -> DataFrame:
+        return of.select("page", line).select("page", F.concat(_ends(_HEAD), _tokens(F.col("line")), _ends(_TAIL)).alias("t"))
+
+    after = doubtful.select("at", "l2", "l1", "fill", "r1").distinct()
+    before = doubtful.where("at = ''").select("at", "l1", "fill", "r1", "r2").distinct()
+    # Pages that hold a place's two words at all are found by hashes of neighbouring words; only they are looked at further.
+    ends = after.select(F.xxhash64("l2", "l1").alias("h")).unionByName(before.select(F.xxhash64("r1", "r2").alias("h"))).distinct()
+    beside = F.transform(F.sequence(F.lit(1), F.size("t") - 1), lambda i: F.xxhash64(F.element_at("t", i), F.element_at("t", i + 1)))
+    some = tokens(text).select("page", F.explode(F.array_distinct(beside)).alias("h")).join(ends, "h", "left_semi").select("page").distinct()
+    lines = tokens(text.join(materialize(some, "some"), "page", "left_semi"))
     # Each pair of neighbouring words, with its place from 0.
     pairs = lines.select("page", "t", F.posexplode(F.arrays_zip(F.slice("t", 1, F.size("t") - 1).alias("x"), F.slice("t", 2, F.size("t") - 1).alias("y"))).alias("i", "p"))
     pairs = pairs.select("page", "t", "i", F.col("p.x").alias("x"), F.col("p.y").alias("y"))
-    after = doubtful.select("at", "l2", "l1", "fill", "r1").distinct()
-    before = doubtful.where("at = ''").select("at", "l1", "fill", "r1", "r2").distinct()
     # At least one word stands between.
     ahead = pairs.join(after, (F.col("x") == F.col("l2")) & (F.col("y") == F.col("l1"))).where(F.expr("array_contains(slice(t, i + 4, size(t)), r1)"))
     behind = pairs.join(before, (F.col("x") == F.col("r1")) & (F.col("y") == F.col("r2"))).where(F.expr("array_contains(slice(t, 1, greatest(i - 1, 0)), l1)"))
