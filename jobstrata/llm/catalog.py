@@ -8,6 +8,7 @@ QUERIES = {
     "p1_found": history.p1_found,
     "p3_found": residue.p3_found,
     "p4_found": names.p4_found,
+    "p4_groups": names.p4_groups,
     "p5_found": residue.p5_found,
     "p6_ids": encoding.p6_ids,
     "p6_decoded": encoding.p6_decoded,

@@ -3,10 +3,11 @@
 Distinct spellings are read into profiles: what kind of business the name
 states, and its own words.  Profiles that share a block (all words but one
 equal, that one within a letter or a swap) are merged at once.  A merged entity
-unions the spellings, first names and initials of its members, and re-enters
-blocking for what a single spelling can't decide: an initial, an ambiguous
-nickname or a name without its kind of business belongs to an entity only if it
-is the only one it can mean.  Rounds repeat until nothing merges any more.
+unions the spellings, first names, initials and kind of business of its
+members, and re-enters blocking with them for what a single spelling can't
+decide: an initial, an ambiguous nickname or a name without its kind of
+business belongs to an entity only if it is the only one it can mean.  Rounds
+repeat until nothing merges any more.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobstrata.operators.components import components
-from jobstrata.session import materialize
+from jobstrata.session import materialize, release
 from jobstrata.sources.tables import job_rows
 
 #: A word in at least this share of all spellings states a kind of business;
@@ -211,12 +212,37 @@ def kind_sets(plains: DataFrame) -> dict[frozenset, int]:
     if not frequent:
         return {}
     found = F.array_sort(F.array_intersect(F.split("plain", " "), F.array(*map(F.lit, frequent))))
-    sets = plains.select(found.alias("k")).where("size(k) between 1 and 3").groupBy("k").count().where(F.col("count") >= least)
+    sets = plains.select(found.alias("k")).where("size(k) > 0").groupBy("k").count().where(F.col("count") >= least)
     rows = {frozenset(r.k): r["count"] for r in sets.collect()}
     # Half of a kind ("group" of "financial group") is no kind of its own unless it often stands alone.
     return {k: n for k, n in rows.items() if not any(k < o and n < rows[o] / 4 for o in rows)}
 
 
+def _keyed(profiles: DataFrame, roles: str) -> DataFrame:
+    """``pid, role, key`` of ``pid, kind, words`` for the roles asked: sure, offering, asking."""
+    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for pid, kind, words in zip(b["pid"], b["kind"], b["words"]):
+                for role, own in zip("soa", profile_keys(kind, words.split())):
+                    rows += [(pid, role, k) for k in own if role in roles]
+            yield pd.DataFrame(rows, columns=["pid", "role", "text"])
+
+    return profiles.select("pid", "kind", "words").mapInPandas(keys, "pid string, role string, text string").select("pid", "role", F.xxhash64("text").alias("key"))
+
+
+def _completed(profiles: DataFrame, entity: DataFrame) -> DataFrame:
+    """``pid, kind, words``: spellings without a kind of business, completed by the only kind their entity has.
+
+    So a merged entity re-enters blocking with keys that none of its spellings has by itself.
+    """
+    placed = profiles.join(entity, F.col("pid") == F.col("node")).select("pid", "root", "kind", "words")
+    roots = profiles.join(entity.select(F.col("root").alias("pid")).distinct(), "pid").select("pid", F.col("pid").alias("root"), "kind", "words")
+    members = placed.unionByName(roots)
+    only = members.where("kind != ''").groupBy("root").agg(F.min("kind").alias("kind"), F.max("kind").alias("_k")).where("kind = _k").select("root", "kind")
+    return members.where("kind = ''").drop("kind").join(only, "root").select("pid", "kind", "words")
+
+
 def link_names(names: DataFrame) -> DataFrame:
     """``name, entity``: the entity of each spelling, named by its first spelling.
 
@@ -232,39 +258,32 @@ def link_names(names: DataFrame) -> DataFrame:
             out = [read_name(p.split(), kinds) for p in b["plain"]]
             yield pd.DataFrame({"plain": b["plain"], "kind": [k for k, _ in out], "words": [" ".join(w) for _, w in out]})
 
-    read_ = spellings.groupBy("plain").agg(F.min("name").alias("name")).select("plain").mapInPandas(read, "plain string, kind string, words string")
-    of_plain = materialize(read_, "read")
-    profiles = of_plain.groupBy("kind", "words").agg(F.min("plain").alias("pid"))
-
-    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for pid, kind, words in zip(b["pid"], b["kind"], b["words"]):
-                for role, own in zip("soa", profile_keys(kind, words.split())):
-                    rows += [(pid, role, k) for k in own]
-            yield pd.DataFrame(rows, columns=["pid", "role", "text"])
-
-    blocks = materialize(
-        profiles.select("pid", "kind", "words").mapInPandas(keys, "pid string, role string, text string")
-        .select("pid", "role", F.xxhash64("text").alias("key")), "blocks",
-    )
+    # A few bytes a name make small inputs, which would be read by one task.
+    spread = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    of_plain = materialize(spellings.select("plain").distinct().repartition(spread, "plain").mapInPandas(read, "plain string, kind string, words string"), "read")
+    profiles = materialize(of_plain.groupBy("kind", "words").agg(F.min("plain").alias("pid")), "profiles")
+    blocks = materialize(_keyed(profiles.repartition(spread, "pid"), "soa"), "blocks")
     sure = blocks.where("role = 's'").select("pid", "key")
     hubs = sure.groupBy("key").agg(F.min("pid").alias("hub"), F.count("*").alias("n")).where("n > 1").select("key", "hub")
     edges = materialize(sure.join(hubs, "key").where("pid != hub").select(F.col("pid").alias("u"), F.col("hub").alias("v")).distinct(), "sure")
     # Spellings of one profile differ only in what doesn't count.
-    weak = blocks.where("role != 's'")
-    entity = materialize(components(edges), "entities")
+    entity = components(edges)
     while True:
+        richer = materialize(_keyed(_completed(profiles, entity).repartition(spread, "pid"), "oa"), "richer")
+        weak = blocks.where("role != 's'").unionByName(richer).distinct()
         placed = weak.join(entity, F.col("pid") == F.col("node"), "left").select("key", "role", "pid", F.coalesce("root", "pid").alias("root"))
         only = placed.where("role = 'o'").groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo = hi").select("key", "lo")
         meant = placed.where("role = 'a'").join(only, "key", "left").groupBy("pid", "root").agg(
             F.min("lo").alias("lo"), F.max("lo").alias("hi")
         ).where("lo = hi and lo != root").select(F.col("pid").alias("u"), F.col("lo").alias("v"))
         fresh = materialize(meant, "meant")
+        release(richer)
         if fresh.isEmpty():
+            release(fresh, blocks, edges)
             break
-        edges = materialize(edges.unionByName(fresh).unionByName(entity.select(F.col("node").alias("u"), F.col("root").alias("v"))).distinct(), "sure")
-        entity = materialize(components(edges), "entities")
+        both = materialize(edges.unionByName(fresh).unionByName(entity.select(F.col("node").alias("u"), F.col("root").alias("v"))).distinct(), "sure")
+        release(edges, fresh, entity)
+        edges, entity = both, components(both)
     rooted = (
         spellings.join(of_plain, "plain").join(profiles.select("kind", "words", "pid"), ["kind", "words"])
         .join(entity, F.col("pid") == F.col("node"), "left").select("name", F.coalesce("root", "pid").alias("root"))
@@ -293,3 +312,8 @@ def name_pairs(linked: DataFrame) -> DataFrame:
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     names = job_rows(spark, folder, "company_name").select(F.col("company_name").alias("name"))
     return name_pairs(link_names(names))
+
+
+def p4_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """``name, entity``: every spelling with the representative of its organisation."""
+    return link_names(job_rows(spark, folder, "company_name").select(F.col("company_name").alias("name")))

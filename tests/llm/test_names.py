@@ -77,3 +77,18 @@ def test_nulls_blanks_repeats_and_odd_names(spark):
 ])
 def test_short_forms(short, word, yes):
     assert names.shortens(short, word) == yes
+
+
+def test_merged_spellings_are_completed_by_their_kind(spark):
+    profiles = spark.createDataFrame([("a", "realty", "kalumbro ted"), ("b", "", "kalumbro theodore"), ("c", "", "porfa"), ("d", "law", "porfa"), ("e", "realty", "porfa"), ("f", "", "alone")], "pid string, kind string, words string")
+    entity = spark.createDataFrame([("b", "a"), ("d", "c"), ("e", "c")], "node string, root string")
+    assert [tuple(r) for r in names._completed(profiles, entity).collect()] == [("b", "realty", "kalumbro theodore")]
+    keyed = {(r.role, r.key) for r in names._keyed(names._completed(profiles, entity), "oa").collect()}
+    assert keyed and {r for r, _ in keyed} == {"o"}
+    assert keyed & {(r.role, r.key) for r in names._keyed(spark.createDataFrame([("z", "realty", "kalumbro theodore")], profiles.schema), "oa").collect()}
+
+
+def test_groups_hold_every_spelling_once(spark, small):
+    got = names.p4_groups(spark, small)
+    assert got.count() == got.select("name").distinct().count() > 0
+    assert got.join(got.select(got["entity"].alias("e")).distinct(), got["name"] == names.F.col("e"), "left_semi").count() == got.select("entity").distinct().count()
