@@ -218,6 +218,11 @@ def kind_sets(plains: DataFrame) -> dict[frozenset, int]:
     return {k: n for k, n in rows.items() if not any(k < o and n < rows[o] / 4 for o in rows)}
 
 
+def _pid():
+    """A profile's number."""
+    return F.xxhash64("kind", "words").alias("pid")
+
+
 def _keyed(profiles: DataFrame, roles: str) -> DataFrame:
     """``pid, role, key`` of ``pid, kind, words`` for the roles asked: sure, offering, asking."""
     def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -226,9 +231,9 @@ def _keyed(profiles: DataFrame, roles: str) -> DataFrame:
             for pid, kind, words in zip(b["pid"], b["kind"], b["words"]):
                 for role, own in zip("soa", profile_keys(kind, words.split())):
                     rows += [(pid, role, k) for k in own if role in roles]
-            yield pd.DataFrame(rows, columns=["pid", "role", "text"])
+            yield pd.DataFrame(rows, columns=["pid", "role", "text"]).astype({"pid": "int64"})
 
-    return profiles.select("pid", "kind", "words").mapInPandas(keys, "pid string, role string, text string").select("pid", "role", F.xxhash64("text").alias("key"))
+    return profiles.select("pid", "kind", "words").mapInPandas(keys, "pid long, role string, text string").select("pid", "role", F.xxhash64("text").alias("key"))
 
 
 def _completed(profiles: DataFrame, entity: DataFrame) -> DataFrame:
@@ -261,7 +266,7 @@ def link_names(names: DataFrame) -> DataFrame:
     # A few bytes a name make small inputs, which would be read by one task.
     spread = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     of_plain = materialize(spellings.select("plain").distinct().repartition(spread, "plain").mapInPandas(read, "plain string, kind string, words string"), "read")
-    profiles = materialize(of_plain.groupBy("kind", "words").agg(F.min("plain").alias("pid")), "profiles")
+    profiles = materialize(of_plain.select("kind", "words").distinct().select(_pid(), "kind", "words"), "profiles")
     blocks = materialize(_keyed(profiles.repartition(spread, "pid"), "soa"), "blocks")
     sure = blocks.where("role = 's'").select("pid", "key")
     hubs = sure.groupBy("key").agg(F.min("pid").alias("hub"), F.count("*").alias("n")).where("n > 1").select("key", "hub")
@@ -285,7 +290,7 @@ def link_names(names: DataFrame) -> DataFrame:
         release(edges, fresh, entity)
         edges, entity = both, components(both)
     rooted = (
-        spellings.join(of_plain, "plain").join(profiles.select("kind", "words", "pid"), ["kind", "words"])
+        spellings.join(of_plain.select("plain", _pid()), "plain")
         .join(entity, F.col("pid") == F.col("node"), "left").select("name", F.coalesce("root", "pid").alias("root"))
     )
     placed = materialize(rooted, "placed")

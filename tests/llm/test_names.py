@@ -80,12 +80,12 @@ def test_short_forms(short, word, yes):
 
 
 def test_merged_spellings_are_completed_by_their_kind(spark):
-    profiles = spark.createDataFrame([("a", "realty", "kalumbro ted"), ("b", "", "kalumbro theodore"), ("c", "", "porfa"), ("d", "law", "porfa"), ("e", "realty", "porfa"), ("f", "", "alone")], "pid string, kind string, words string")
-    entity = spark.createDataFrame([("b", "a"), ("d", "c"), ("e", "c")], "node string, root string")
-    assert [tuple(r) for r in names._completed(profiles, entity).collect()] == [("b", "realty", "kalumbro theodore")]
+    profiles = spark.createDataFrame([(1, "realty", "kalumbro ted"), (2, "", "kalumbro theodore"), (3, "", "porfa"), (4, "law", "porfa"), (5, "realty", "porfa"), (6, "", "alone")], "pid long, kind string, words string")
+    entity = spark.createDataFrame([(2, 1), (4, 3), (5, 3)], "node long, root long")
+    assert [tuple(r) for r in names._completed(profiles, entity).collect()] == [(2, "realty", "kalumbro theodore")]
     keyed = {(r.role, r.key) for r in names._keyed(names._completed(profiles, entity), "oa").collect()}
     assert keyed and {r for r, _ in keyed} == {"o"}
-    assert keyed & {(r.role, r.key) for r in names._keyed(spark.createDataFrame([("z", "realty", "kalumbro theodore")], profiles.schema), "oa").collect()}
+    assert keyed & {(r.role, r.key) for r in names._keyed(spark.createDataFrame([(9, "realty", "kalumbro theodore")], profiles.schema), "oa").collect()}
 
 
 def test_groups_hold_every_spelling_once(spark, small):
