@@ -186,8 +186,6 @@ def _is_leak(words: list[str], item: list[str], se: list[int], we: list[int], st
 
 def verify(found: DataFrame, docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Exact comparison of each candidate; ``doc_id, item_id`` of the leaks."""
-    # Tests ride along: a row per candidate carries the few dozen words around it, not the document.
-    at = found.join(items.select("item", "words", "se", "we"), "item").withColumnRenamed("words", "item_words")
     # Only documents with a candidate are read into words.
     own = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(doc_id, text).alias("doc"), F.col(text).alias("text"))
     body = own.join(found.select("doc").distinct(), "doc", "left_semi").select("doc_id", "doc", plain_words(F.col("text")).alias("words"))
@@ -197,7 +195,9 @@ def verify(found: DataFrame, docs: DataFrame, items: DataFrame, doc_id: str = "d
         here = F.slice("words", (F.col("start") + seg["lo"] + 1).cast("int"), seg["len"])
         return (F.col("start") + seg["lo"] >= 0) & (here == F.slice("item_words", seg["lo"] + 1, seg["len"]))
 
-    near = body.join(at, "doc").where(F.exists("segs", whole)).select(
+    # Candidates meet their documents first, a few numbers each; the items' words come after that.
+    tests = items.select("item", F.col("words").alias("item_words"), "se", "we")
+    near = body.join(found, "doc").join(tests, "item").where(F.exists("segs", whole)).select(
         "doc_id", "item", "item_words", "se", "we",
         (F.col("start") - lo).alias("start"),
         F.slice("words", (lo + 1).cast("int"), (room + F.size("item_words")).cast("int")).alias("words"),
