@@ -42,11 +42,23 @@ def repair_letters(c: Column) -> Column:
     return F.when(c.contains("Ã"), fixed).otherwise(c)
 
 
-def fold(c: Column) -> Column:
-    """Lower case without accents, combining marks and zero-width characters."""
-    lowered = F.lower(repair_letters(c))
-    bare = F.regexp_replace(lowered, r"[\p{M}\u00ad\u200b-\u200f\u2060\ufeff]+", "")
-    return F.translate(bare, _SRC, _DST)
+def _steps(c: Column, *steps) -> Column:
+    """Apply steps one after the other, each to the value of the one before (bound once, however often a step names it)."""
+    held = F.array(c)
+    for step in steps:
+        held = F.transform(held, step)
+    return F.get(held, F.lit(0))
+
+
+def _without_markup(t: Column) -> Column:
+    marked = t.contains("<") | t.contains("&")
+    return F.when(marked, F.regexp_replace(t, r"<[/!]?[a-zA-Z][^<>]*>|&#?\w{1,8};", " ")).otherwise(t)
+
+
+def _without_accents(t: Column) -> Column:
+    """Lower-case text without accents, combining marks and zero-width characters; ASCII texts have none."""
+    bare = F.translate(F.regexp_replace(t, r"[\p{M}\u00ad\u200b-\u200f\u2060\ufeff]+", ""), _SRC, _DST)
+    return F.when(F.octet_length(t) == F.length(t), t).otherwise(bare)
 
 
 def plain_words(c: Column) -> Column:
@@ -57,7 +69,8 @@ def plain_words(c: Column) -> Column:
     change them.  Null stays null; a text without letters and digits gives an
     empty array.
     """
-    t = F.regexp_replace(c, r"<[/!]?[a-zA-Z][^<>]*>|&#?\w{1,8};", " ")
-    t = F.regexp_replace(t, r"\bUS\$", "\\$")
-    t = F.regexp_replace(fold(t), r"['‘’ʼ´`]+", "")
+    t = _steps(
+        c, _without_markup, lambda x: F.when(x.contains("US$"), F.regexp_replace(x, r"\bUS\$", "\\$")).otherwise(x),
+        lambda x: F.lower(repair_letters(x)), _without_accents, lambda x: F.translate(x, "'‘’ʼ´`", ""),
+    )
     return F.regexp_extract_all(t, F.lit(r"[0-9]|[\p{L}\p{N}&&[^0-9]]+"), F.lit(0))
