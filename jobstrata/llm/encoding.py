@@ -10,6 +10,7 @@ broadcast, while all other words go through a shuffle join.
 from __future__ import annotations
 
 import base64
+import os
 from collections.abc import Iterator
 
 import pandas as pd
@@ -20,7 +21,8 @@ from pyspark.sql import types as T
 from jobstrata.session import materialize
 from jobstrata.sources.tables import table
 
-VOCABULARIES = "/opt/tokenizers"
+#: Folder of the public vocabularies; JOBSTRATA_TOKENIZERS names another.
+VOCABULARIES = os.environ.get("JOBSTRATA_TOKENIZERS", "/opt/tokenizers")
 BYTE_BPE_50K = f"{VOCABULARIES}/byte_bpe_50k.json"
 BYTE_BPE_50K_RANKS = f"{VOCABULARIES}/byte_bpe_50k.tiktoken"
 

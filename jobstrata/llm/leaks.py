@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from jobstrata.llm.normal import plain_words
-from jobstrata.session import materialize
+from jobstrata.session import materialize, release
 from jobstrata.sources.tables import table
 
 #: So many consecutive words of an item are a leak.
@@ -130,7 +130,9 @@ def candidates(index: DataFrame, items: DataFrame) -> DataFrame:
         lone = found.where(F.col(f"term{k}").isNull())
         found = found.where(F.col(f"term{k}").isNotNull()).join(lists, fits, "left_semi").unionByName(lone)
     # An item has few segments, so these sets are small.
-    return found.groupBy("doc", "item", "start").agg(F.collect_set(F.struct("lo", "len")).alias("segs"))
+    out = materialize(found.groupBy("doc", "item", "start").agg(F.collect_set(F.struct("lo", "len")).alias("segs")), "candidates")
+    release(read, anchors)
+    return out
 
 
 def _is_leak(words: list[str], item: list[str], se: list[int], we: list[int], start: int) -> bool:
@@ -224,10 +226,11 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, index: DataFrame | None = N
     repeated document is reported under each of its ids, a repeated row once.
     ``index`` is a stored :func:`build_index` of the same documents.
     """
-    if index is None:
-        index = materialize(build_index(docs), "postings")
+    own = materialize(build_index(docs), "postings") if index is None else index
     parsed = materialize(item_words(items), "items")
-    found = materialize(candidates(index, parsed), "candidates")
+    found = candidates(own, parsed)
+    if index is None:
+        release(own)
     return verify(found, docs, parsed)
 
 

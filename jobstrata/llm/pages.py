@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobstrata.llm.addresses import url_parts
-from jobstrata.session import materialize
+from jobstrata.session import materialize, release
 from jobstrata.sources.tables import table
 
 #: Words with a capital on at least this share of all sites are common; there
@@ -276,7 +276,9 @@ def read_pages(details: DataFrame) -> DataFrame:
     look = _read_pages(common_words(pages), title_words(pages))
     ordered = pages.repartitionByRange("host", "path", "detail_id").sortWithinPartitions("host", "path", "detail_id")
     schema = f"detail_id {dict(details.dtypes)['detail_id']}, keys array<long>, bits array<int>, parts array<long>, of array<int>, head int"
-    return ordered.mapInPandas(look, schema)
+    out = materialize(ordered.mapInPandas(look, schema), "read-pages")
+    release(pages)
+    return out
 
 
 def line_evidence(read: DataFrame) -> DataFrame:
@@ -446,7 +448,7 @@ def body_lines(details: DataFrame) -> DataFrame:
     posting gives an empty list; nulls in the other columns count as blank;
     a repeated row gives a row each time.
     """
-    read = materialize(read_pages(details), "read-pages")
+    read = read_pages(details)
     evidence = materialize(line_evidence(read).where("key != 0"), "evidence")
     judged, hot = with_verdicts(read, evidence, read.count())
     sent = details.sparkSession.sparkContext.broadcast(hot)
@@ -462,4 +464,6 @@ def body_lines(details: DataFrame) -> DataFrame:
                 kept.append(keep_lines(list(keys), list(bits), list(parts), list(of), int(head), find))
             yield pd.DataFrame({"detail_id": b["detail_id"], "kept": kept, "head": b["head"]})
 
-    return judged.mapInPandas(decide, schema)
+    out = materialize(judged.mapInPandas(decide, schema), "bodies")
+    release(read, evidence)
+    return out

@@ -209,7 +209,7 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     """``detail_id, line_no`` of the lines to keep; records of p3 give none."""
     details = _details(spark, folder)
-    bodies = materialize(body_lines(details), "bodies")
+    bodies = body_lines(details)
     bad = find_residue(details, bodies)
     kept = bodies.join(bad, "detail_id", "left_anti").select("detail_id", F.explode("kept").alias("line_no"))
     return kept.select("detail_id", F.col("line_no").cast("long").alias("line_no"))
