@@ -102,7 +102,8 @@ def encode_corpus(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *
     done = split.where("_hot is not null or word is null").select("_doc", "_hash", "pos", F.col("_hot").alias("ids"))
     joined = split.where("_hot is null and word is not null").drop("_hot").join(rest, "word")
     spans = done.unionByName(joined.select("_doc", "_hash", "pos", "ids"))
-    whole = spans.groupBy("_doc", "_hash").agg(
+    # A document's words come from many tasks, so collecting before the shuffle would only sort what is there.
+    whole = spans.repartition("_doc", "_hash").groupBy("_doc", "_hash").agg(
         F.sort_array(F.collect_list(F.struct("pos", "ids"))).alias("spans"),
         F.count_if(F.coalesce(F.col("pos"), F.lit(0)) == 0).alias("copies"),
     )
