@@ -123,4 +123,7 @@ def test_the_index_stays_in_place(spark):
     own = identities(df).groupBy("key").agg(F.min("row_id").alias("_own")).hint("shuffle_hash")
     with history.index.table(1) as stored:
         plan = own.join(stored, "key", "left")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1, plan
+        few = stored.where(F.col("key").isin([r.key for r in identities(df.where("row_id < 2")).collect()]))
+        some = own.join(few, "key", "left")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "SelectedBucketsCount: 4 out of 4" in plan, plan
+    assert "SelectedBucketsCount: 1 out of 4" in some or "SelectedBucketsCount: 2 out of 4" in some, some
