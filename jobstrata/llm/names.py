@@ -265,7 +265,7 @@ def link_names(names: DataFrame) -> DataFrame:
 
     # A few bytes a name make small inputs, which would be read by one task.
     spread = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    of_plain = materialize(spellings.select("plain").distinct().repartition(spread, "plain").mapInPandas(read, "plain string, kind string, words string"), "read")
+    of_plain = materialize(spellings.select("plain").distinct().repartition(spread).mapInPandas(read, "plain string, kind string, words string"), "read")
     profiles = materialize(of_plain.select("kind", "words").distinct().select(_pid(), "kind", "words"), "profiles")
     blocks = materialize(_keyed(profiles.repartition(spread, "pid"), "soa"), "blocks")
     sure = blocks.where("role = 's'").select("pid", "key")
